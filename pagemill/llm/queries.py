@@ -1,9 +1,10 @@
 """The registered queries of this subpackage: thin, with production parameters, over whole tables."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import mixing, toxicity
+from pagemill.llm import bpe, mixing, toxicity
 from pagemill.llm.common import table
 
 
@@ -18,5 +19,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op4_mixing": op4_mixing}
+def op5_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataFrame:
+    ranks = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, with_offsets=False)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe}
 ORACLE_SQL = {"op4_mixing": mixing.mix_sql()}
