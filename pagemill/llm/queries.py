@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, mixing, toxicity
+from pagemill.llm import bpe, chat, mixing, secrets, toxicity
 from pagemill.llm.common import table
 
 
@@ -30,5 +30,39 @@ def op5_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataF
     )
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe}
-ORACLE_SQL = {"op4_mixing": mixing.mix_sql()}
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(k))).cast("long").alias(f"n_{k}")
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secrets.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+#: The conversation added to the table: both texts are control strings of a common template.
+MARKED = "</s>[INST] ok [/INST]"
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(MARKED).alias("text"),
+    )
+    return chat.digest(chat.format_records(chat.conversation_records(turns.unionByName(marked))))
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe, "op6_secrets": op6_secrets, "op10_chat": op10_chat}
+ORACLE_SQL = {
+    "op4_mixing": mixing.mix_sql(),
+    "op10_chat": chat.digest_sql(
+        f"""(SELECT conv_id, turn, role, text FROM conversations UNION ALL
+             VALUES (-7, 0, 'user', '{MARKED}'), (-7, 1, 'assistant', '{MARKED}'))"""
+    ),
+}
