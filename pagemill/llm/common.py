@@ -66,3 +66,42 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(counts)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - counts), counts)
+
+
+#: Odd multiplier of the polynomial hash of bytes, and its inverse modulo 2**64.
+BASE = np.uint64(0x9E3779B97F4A7C15)
+UNBASE = np.uint64(pow(int(BASE), -1, 1 << 64))
+
+
+def powers(n: int, base: np.uint64) -> np.ndarray:
+    """base**0 to base**(n - 1) modulo 2**64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers under which close values part."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
+def run_hashes(text: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the maximal runs of bytes for which the table inside holds, in the order of concatenated texts,
+    and how many runs each text has. ASCII letters hash in lower case."""
+    if not len(text):
+        return np.zeros(0, np.uint64), np.zeros(len(at) - 1, np.int64)
+    low = np.arange(1, 257, dtype=np.uint64)
+    low[65:91] += np.uint64(32)
+    held = inside[text]
+    border = np.zeros(len(text) + 1, bool)
+    border[at] = True
+    open_ = held.copy()
+    open_[1:] &= ~held[:-1] | border[1:-1]
+    close = held.copy()
+    close[:-1] &= ~held[1:] | border[1:-1]
+    begin, end = np.flatnonzero(open_), np.flatnonzero(close) + 1
+    sums = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(low[text] * powers(len(text), BASE), out=sums[1:], dtype=np.uint64)
+    return mixed((sums[end] - sums[begin]) * powers(len(text), UNBASE)[begin]), np.diff(np.searchsorted(begin, at))
