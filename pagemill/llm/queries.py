@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, chat, minhash, mixing, secrets, toxicity
+from pagemill.llm import bpe, chat, minhash, mixing, neighbours, secrets, toxicity
 from pagemill.llm.common import table
 
 
@@ -48,6 +48,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 #: The conversation added to the table: both texts are control strings of a common template.
 MARKED = "</s>[INST] ok [/INST]"
 
@@ -63,10 +68,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_records(chat.conversation_records(turns.unionByName(marked))))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_minhash": op3_minhash, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe, "op6_secrets": op6_secrets, "op10_chat": op10_chat}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_minhash": op3_minhash, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe, "op6_secrets": op6_secrets, "op8_neighbours": op8_neighbours, "op10_chat": op10_chat}
 ORACLE_SQL = {
     "op3_minhash": minhash.near_duplicates_sql(2, 80),
     "op4_mixing": mixing.mix_sql(),
+    "op8_neighbours": neighbours.nearest_sql(20, 20),
     "op10_chat": chat.digest_sql(
         f"""(SELECT conv_id, turn, role, text FROM conversations UNION ALL
              VALUES (-7, 0, 'user', '{MARKED}'), (-7, 1, 'assistant', '{MARKED}'))"""
