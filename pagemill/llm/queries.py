@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, chat, minhash, mixing, neighbours, secrets, toxicity
+from pagemill.llm import bpe, chat, minhash, mixing, neighbours, secrets, toxicity, warc
 from pagemill.llm.common import table
 
 
@@ -53,6 +53,12 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    original = warc.durable(warc.manifest(pages))
+    return warc.audit(original, warc.damaged(original, pages))
+
+
 #: The conversation added to the table: both texts are control strings of a common template.
 MARKED = "</s>[INST] ok [/INST]"
 
@@ -68,11 +74,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_records(chat.conversation_records(turns.unionByName(marked))))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_minhash": op3_minhash, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe, "op6_secrets": op6_secrets, "op8_neighbours": op8_neighbours, "op10_chat": op10_chat}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_minhash": op3_minhash, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe, "op6_secrets": op6_secrets, "op8_neighbours": op8_neighbours, "op9_warc": op9_warc, "op10_chat": op10_chat}
 ORACLE_SQL = {
     "op3_minhash": minhash.near_duplicates_sql(2, 80),
     "op4_mixing": mixing.mix_sql(),
     "op8_neighbours": neighbours.nearest_sql(20, 20),
+    "op9_warc": warc.audit_sql(),
     "op10_chat": chat.digest_sql(
         f"""(SELECT conv_id, turn, role, text FROM conversations UNION ALL
              VALUES (-7, 0, 'user', '{MARKED}'), (-7, 1, 'assistant', '{MARKED}'))"""
