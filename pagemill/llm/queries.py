@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, chat, minhash, mixing, neighbours, secrets, toxicity, warc
+from pagemill.llm import bpe, chat, flac, minhash, mixing, neighbours, secrets, toxicity, warc
 from pagemill.llm.common import table
 
 
@@ -48,6 +48,20 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = flac.decode(flac.encode(table(spark, sf_dir, "documents")))
+    return read.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("pcm").cast("long").alias("payload_bytes"),
+        F.sha2("pcm", 256).alias("payload_sha256"),
+        F.crc32(F.substring("pcm", -16, 16)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
@@ -74,7 +88,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_records(chat.conversation_records(turns.unionByName(marked))))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_minhash": op3_minhash, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe, "op6_secrets": op6_secrets, "op8_neighbours": op8_neighbours, "op9_warc": op9_warc, "op10_chat": op10_chat}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_minhash": op3_minhash, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_neighbours": op8_neighbours, "op9_warc": op9_warc, "op10_chat": op10_chat}
 ORACLE_SQL = {
     "op3_minhash": minhash.near_duplicates_sql(2, 80),
     "op4_mixing": mixing.mix_sql(),
