@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, chat, flac, minhash, mixing, neighbours, secrets, toxicity, warc
+from pagemill.llm import bpe, chat, flac, minhash, mixing, neighbours, repeats, secrets, toxicity, warc
 from pagemill.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -88,7 +93,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_records(chat.conversation_records(turns.unionByName(marked))))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_minhash": op3_minhash, "op4_mixing": op4_mixing, "op5_bpe": op5_bpe, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_neighbours": op8_neighbours, "op9_warc": op9_warc, "op10_chat": op10_chat}
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_repeats": op2_repeats,
+    "op3_minhash": op3_minhash,
+    "op4_mixing": op4_mixing,
+    "op5_bpe": op5_bpe,
+    "op6_secrets": op6_secrets,
+    "op7_flac": op7_flac,
+    "op8_neighbours": op8_neighbours,
+    "op9_warc": op9_warc,
+    "op10_chat": op10_chat,
+}
 ORACLE_SQL = {
     "op3_minhash": minhash.near_duplicates_sql(2, 80),
     "op4_mixing": mixing.mix_sql(),
