@@ -15,14 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder that the session names.
-
-    The folder is set here only where the session has none, as in tests.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names; set here only where it names none, as in tests."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if not named and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return named or sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -87,6 +91,16 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def runs(held: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of true bytes in concatenated texts; no run crosses texts."""
+    border = np.zeros(len(held) + 1, bool)
+    border[at] = True
+    open_, close = held.copy(), held.copy()
+    open_[1:] &= ~held[:-1] | border[1:-1]
+    close[:-1] &= ~held[1:] | border[1:-1]
+    return np.flatnonzero(open_), np.flatnonzero(close) + 1
+
+
 def run_hashes(text: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the maximal runs of bytes for which the table inside holds, in the order of concatenated texts,
     and how many runs each text has. ASCII letters hash in lower case."""
@@ -94,14 +108,7 @@ def run_hashes(text: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np
         return np.zeros(0, np.uint64), np.zeros(len(at) - 1, np.int64)
     low = np.arange(1, 257, dtype=np.uint64)
     low[65:91] += np.uint64(32)
-    held = inside[text]
-    border = np.zeros(len(text) + 1, bool)
-    border[at] = True
-    open_ = held.copy()
-    open_[1:] &= ~held[:-1] | border[1:-1]
-    close = held.copy()
-    close[:-1] &= ~held[1:] | border[1:-1]
-    begin, end = np.flatnonzero(open_), np.flatnonzero(close) + 1
+    begin, end = runs(inside[text], at)
     sums = np.zeros(len(text) + 1, np.uint64)
     np.cumsum(low[text] * powers(len(text), BASE), out=sums[1:], dtype=np.uint64)
     return mixed((sums[end] - sums[begin]) * powers(len(text), UNBASE)[begin]), np.diff(np.searchsorted(begin, at))

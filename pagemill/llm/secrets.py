@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import durable, row_key, text_batches
+from pagemill.llm.common import durable, row_key, runs, text_batches
 
 #: Kinds of spans in their order; the first three are the base.
 KINDS = ("assign", "access", "hex", "id", "secret", "endpoint")
@@ -85,14 +85,10 @@ MARK = _run_table(":=")
 
 def _texts_with_runs(inside: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
     """Which texts have a run of at least so many bytes inside."""
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    long = ends - starts >= least
-    out = np.zeros(len(at), bool)
-    # a run over the border of two texts marks both; the expressions then decide
-    for side in (starts[long], ends[long] - 1):
-        out[np.searchsorted(at, side, "right") - 1] = True
-    return out[: len(at) - 1]
+    start, end = runs(inside, at)
+    out = np.zeros(len(at) - 1, bool)
+    out[np.searchsorted(at, start[end - start >= least], "right") - 1] = True
+    return out
 
 
 def _spans_array(rows: list[list[tuple[int, int, int]]]) -> pa.Array:
