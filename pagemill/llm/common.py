@@ -19,8 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder that the session names; set here only where it names none, as in tests."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
-    if not named and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return named or sc.getCheckpointDir()
 
 

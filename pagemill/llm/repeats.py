@@ -4,8 +4,8 @@ A text's suffixes of interest are its windows of LENGTH bytes. They are too many
 every window contains a k-mer of least hash, its anchor, and a run of windows with one anchor is stored as one slice of
 text. Equal windows have equal anchors at equal places, so only bundles of one anchor can share a window:
 
-1. Bundles are dealt by anchor as short rows (hashes and places). Anchors met once drop out; that is most of them.
-   Bundles with equal content, as whole copies and the inside of shared passages give, repeat in full.
+1. Bundles are dealt by anchor as short rows (hashes and places), equal ones of a batch in one row. Anchors met once
+   drop out; that is most of them. Bundles with equal content, as whole copies and the inside of shared passages give, repeat in full.
 2. The others fetch their slices of text, one of each content, and meet by anchor in index shards. A shard takes them
    in batches: each gets a suffix array, is merge-scanned against the levels of the index for windows that match over
    the whole LENGTH, and levels of equal size merge, so that each window is merged a logarithmic number of times.
@@ -94,16 +94,36 @@ def bundles(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     return number, start - at[number], count, a - start, kmer[a], _hash(sums, start, start + count - 1 + LENGTH)
 
 
+ANCHORED = "anchor long, content long, key long, start int, n int, place int, others array<struct<key:long,start:int>>"
+
+
 def _anchors(batches):
-    """(anchor, content, key, start, n, place) of the bundles of (key, __text)."""
-    names = ["anchor", "content", "key", "start", "n", "place"]
+    """The bundles of (key, __text), those of equal content in a batch as one row with the others' places.
+
+    A line that fills a text, and copies, thus reach the shuffle once a batch.
+    """
+    names = ["anchor", "content", "key", "start", "n", "place", "others"]
     for batch in batches:
+        found = []
         for part, text, at in text_batches(batch, "__text", SLICE):
             number, start, count, place, anchor, content = bundles(text, at)
             key = part.column(0).to_numpy(zero_copy_only=False)[number]
-            arrays = [anchor.view(np.int64), content.view(np.int64), key]
-            small = [x.astype(np.int32) for x in (start, count, place)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*arrays, *small)], names=names)
+            found.append((anchor.view(np.int64), content.view(np.int64), key, start, count, place))
+        if not found:
+            continue
+        anchor, content, key, start, count, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((start, key, content, anchor))
+        anchor, content, key, start = anchor[order], content[order], key[order], start[order].astype(np.int32)
+        lead = np.ones(len(order), bool)
+        lead[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+        first = np.flatnonzero(lead)
+        more = np.diff(np.append(first, len(order))) - 1
+        places = pa.StructArray.from_arrays([pa.array(key[~lead]), pa.array(start[~lead])], names=["key", "start"])
+        at = pa.array(np.concatenate([[0], np.cumsum(more)]).astype(np.int32))
+        others = pa.ListArray.from_arrays(at, places, mask=pa.array(more == 0))
+        small = [count[order][first].astype(np.int32), place[order][first].astype(np.int32)]
+        arrays = [pa.array(x) for x in (anchor[first], content[first], key[first], start[first], *small)]
+        yield pa.RecordBatch.from_arrays([*arrays, others], names=names)
 
 
 def _packed(batches):
@@ -243,17 +263,19 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     docs: (key, text). Rows that share a key are occurrences of their own. Spans may overlap.
     """
     texts = docs.select("key", F.coalesce("text", F.lit("")).alias("__text"))
-    rows = texts.mapInArrow(_anchors, "anchor long, content long, key long, start int, n int, place int")
+    rows = texts.mapInArrow(_anchors, ANCHORED)
     by_anchor, by_content = Window.partitionBy("anchor"), Window.partitionBy("anchor", "content")
+    met = F.when(F.col("others").isNotNull(), F.size("others") + 1).otherwise(1)
     counted = rows.withColumns(
         {
             "first": F.row_number().over(by_content.orderBy("key", "start")) == 1,
-            "alike": F.count(F.lit(1)).over(by_content),
-            "met": F.count(F.lit(1)).over(by_anchor),
+            "alike": F.sum(met).over(by_content),
+            "met": F.sum(met).over(by_anchor),
         }
     )
     met = durable(counted.filter("met > 1"))
-    whole = met.filter("alike > 1").select(
+    places = F.concat(F.array(F.struct("key", "start")), F.coalesce("others", F.array().cast("array<struct<key:long,start:int>>")))
+    whole = met.filter("alike > 1").select(F.col("n"), F.inline(places)).select(
         "key", F.col("start").cast("long").alias("begin"), (F.col("start") + F.col("n") - 1 + LENGTH).cast("long").alias("end")
     )
     one = F.struct("start", "n", "place", "anchor", (F.col("alike") > 1).alias("known"), (F.col("met") > HOT).alias("hot"))
