@@ -32,7 +32,7 @@ SLOTS = 1 << 20
 #: Pairs whose signatures agree in less than this share can't be links: at 0.8 that is 4.7 standard deviations off.
 MAYBE = 0.62
 #: Classes of one bucket that a task compares with those outside the leader's component.
-BLOCK = 20_000
+BLOCK = 500
 #: Bits of the bitmap of a set.
 BITS = 4096
 #: Bytes of a sketch: the low 16 bits of each coordinate, then the bitmap.
