@@ -9,8 +9,8 @@ from pagemill.jobs import workflows
 from pagemill.operators import links as L
 from pagemill.operators import pages as P
 from pagemill.operators import threads as T
-from pagemill.sources.tables import read_activity, read_messages, read_pages
-from pagemill.streaming.activity import activity_counts
+from pagemill.sources.tables import read_activity, read_messages, read_pages, scratch_folder, write_records
+from pagemill.streaming.activity import activity_counts, read_stream, store_counts
 
 #: (prio, pat, kind), first match wins.
 RULES = ((1, r"[?&]page=", "listing"), (2, r"\.html", "article"), (3, r"^https?://m\.", "mobile"), (9, r".", "other"))
@@ -54,12 +54,25 @@ def _snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
+def _written(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_folder(spark)
+    write_records(P.page_records(_pages(spark, d)), path)
+    return spark.read.parquet(path)
+
+
+def _streamed(spark: SparkSession, d: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    store_counts(activity_counts(read_stream(spark, d, "events.parquet"), "1 day"), folder)
+    return spark.read.parquet(f"{folder}/counts")
+
+
 def _thinned(spark: SparkSession, d: str) -> DataFrame:
     return _messages(spark, d).filter("(thread_id + seq) % 5 <> 2")
 
 
 QUERIES = {
     "io_pages": lambda s, d: _pages(s, d).select("page_id", "url", F.length("html").cast("long").alias("n_chars")),
+    "io_write_records": _written,
     "px_canonical_url": _page_column("canon", lambda: canonical_url(F.col("url"))),
     "px_canonical_url_page": _page_column("canon", lambda: canonical_url(F.col("url"), ("page",))),
     "px_url_host": _page_column("host", lambda: url_host(F.col("url"))),
@@ -95,6 +108,7 @@ QUERIES = {
     "wn_message_context": lambda s, d: T.message_context(_messages(s, d)),
     "wn_top_messages": lambda s, d: T.top_messages(_messages(s, d), 2),
     "st_activity_tumbling": lambda s, d: activity_counts(read_activity(s, f"{d}/events.parquet"), "1 day"),
+    "st_activity_stream": _streamed,
     "st_activity_sliding": lambda s, d: activity_counts(read_activity(s, f"{d}/events.parquet"), "1 day", "12 hours"),
     "w1_current_page_records": lambda s, d: workflows.current_page_records(_pages(s, d), _rules(s)),
     "w2_crawl_frontier": lambda s, d: workflows.crawl_frontier(_pages(s, d), 100),
@@ -170,6 +184,8 @@ _LATEST = f"""SELECT page_id, url, html, canon FROM (SELECT *, {_canon('url')} A
 
 ORACLE_SQL = {
     "io_pages": "SELECT page_id, url, length(html) AS n_chars FROM pages",
+    "io_write_records": f"""SELECT page_id, {_canon('url')} AS canon, {_HOST} AS host, {_TITLE} AS title, {_DECODED} AS text,
+      sha256(html) AS hash FROM pages""",
     "px_canonical_url": f"SELECT page_id, {_canon('url')} AS canon FROM pages",
     "px_canonical_url_page": f"""SELECT page_id, {_canon('url')} ||
       CASE WHEN regexp_matches(url, '[?&]page=[^&#]*') THEN '?' || regexp_extract(url, '[?&](page=[^&#]*)', 1) ELSE '' END
@@ -217,6 +233,7 @@ ORACLE_SQL = {
       length(text)::INT AS chars, row_number() OVER (PARTITION BY thread_id ORDER BY length(text) DESC, seq)::INT AS rank
       FROM ({_MESSAGES})) WHERE rank <= 2""",
     "st_activity_tumbling": _activity_sql("1 day", "1 day"),
+    "st_activity_stream": _activity_sql("1 day", "1 day"),
     "st_activity_sliding": _activity_sql("1 day", "12 hours"),
     "w1_current_page_records": f"""SELECT page_id, canon, {_HOST} AS host, {_TITLE} AS title, {_DECODED} AS text,
       sha256(html) AS hash, kind FROM ({_LATEST}) LEFT JOIN ({_KINDS}) USING (page_id)""",

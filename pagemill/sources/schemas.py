@@ -21,3 +21,5 @@ ACTIVITY = T.StructType(
         T.StructField("event_type", T.StringType()),
     ]
 )
+#: Activity as it lies in files: times without a zone.
+ACTIVITY_FILES = T.StructType([T.StructField(f.name, T.TimestampNTZType()) if f.name == "ts" else f for f in ACTIVITY])

@@ -1,5 +1,8 @@
 """Readers of saved pages, messages and activity, and the writer of extracted records."""
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +35,9 @@ def read_activity(spark: SparkSession, path: str) -> DataFrame:
 def write_records(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write extracted records as Parquet. Not partitioned by host: one forum means one huge host folder."""
     df.write.mode(mode).parquet(path)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path below the folder that the session's driver and executors share; local where it names none, as in tests."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    return f"{shared}/{uuid.uuid4().hex}"

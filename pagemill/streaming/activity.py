@@ -1,8 +1,10 @@
 """Event-time activity counts, batch or stream."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.sources.schemas import ACTIVITY_FILES
+
 
 def activity_counts(events: DataFrame, size: str, slide: str | None = None, delay: str = "1 hour") -> DataFrame:
     """Counts by window and event type, tumbling or (with slide) sliding.
@@ -15,3 +17,22 @@ def activity_counts(events: DataFrame, size: str, slide: str | None = None, dela
     return counts.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", F.col("count").alias("n")
     )
+
+
+def read_stream(spark: SparkSession, folder: str, files: str = "*.parquet") -> DataFrame:
+    """Stream of activity from the files of a folder that match a name pattern; files that come later are read too."""
+    stream = spark.readStream.schema(ACTIVITY_FILES).option("pathGlobFilter", files).parquet(folder)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def store_counts(counts: DataFrame, folder: str) -> None:
+    """Run a stream of counts over what there is, and keep its latest full result in folder/counts.
+
+    Progress and state are kept in folder/state, so that a run that is cut off goes on where it was.
+    """
+
+    def store(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/counts")
+
+    writer = counts.writeStream.outputMode("complete").foreachBatch(store).option("checkpointLocation", f"{folder}/state")
+    writer.trigger(availableNow=True).start().awaitTermination()
