@@ -4,8 +4,9 @@ A text's suffixes of interest are its windows of LENGTH bytes. They are too many
 every window contains a k-mer of least hash, its anchor, and a run of windows with one anchor is stored as one slice of
 text. Equal windows have equal anchors at equal places, so only bundles of one anchor can share a window:
 
-1. Bundles are dealt by anchor as short rows (hashes and places), equal ones of a batch in one row. Anchors met once
-   drop out; that is most of them. Bundles with equal content, as whole copies and the inside of shared passages give, repeat in full.
+1. Bundles are dealt by anchor as short rows (hashes and places), equal ones that a task meets close together in one
+   row. Anchors met once drop out; that is most of them. Bundles with equal content, as whole copies and the inside of
+   shared passages give, repeat in full.
 2. The others fetch their slices of text, one of each content, and meet by anchor in index shards. A shard takes them
    in batches: each gets a suffix array, is merge-scanned against the levels of the index for windows that match over
    the whole LENGTH, and levels of equal size merge, so that each window is merged a logarithmic number of times.
@@ -34,6 +35,8 @@ SPREAD = LENGTH - KMER + 1
 SLICE = 1 << 19
 #: Bundles of one anchor from which it is split, and anchor places in a part.
 HOT, PLACES = 1000, 16
+#: Bundles among which a task joins equal ones before the shuffle.
+GROUPED = 1 << 17
 
 
 @functools.cache
@@ -97,33 +100,37 @@ def bundles(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
 ANCHORED = "anchor long, content long, key long, start int, n int, place int, others array<struct<key:long,start:int>>"
 
 
-def _anchors(batches):
-    """The bundles of (key, __text), those of equal content in a batch as one row with the others' places.
+def _grouped(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Bundles (anchor, content, key, start, n, place), those of equal content as one row with the others' places."""
+    anchor, content, key, start, count, place = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((start, key, content, anchor))
+    anchor, content, key, start = anchor[order], content[order], key[order], start[order].astype(np.int32)
+    lead = np.ones(len(order), bool)
+    lead[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+    first = np.flatnonzero(lead)
+    more = np.diff(np.append(first, len(order))) - 1
+    places = pa.StructArray.from_arrays([pa.array(key[~lead]), pa.array(start[~lead])], names=["key", "start"])
+    at = pa.array(np.concatenate([[0], np.cumsum(more)]).astype(np.int32))
+    others = pa.ListArray.from_arrays(at, places, mask=pa.array(more == 0))
+    small = [count[order][first].astype(np.int32), place[order][first].astype(np.int32)]
+    arrays = [pa.array(x) for x in (anchor[first], content[first], key[first], start[first], *small)]
+    return pa.RecordBatch.from_arrays([*arrays, others], names=["anchor", "content", "key", "start", "n", "place", "others"])
 
-    A line that fills a text, and copies, thus reach the shuffle once a batch.
-    """
-    names = ["anchor", "content", "key", "start", "n", "place", "others"]
+
+def _anchors(batches):
+    """The bundles of (key, __text). A line that fills a text, and copies, reach the shuffle once for GROUPED bundles."""
+    found, held = [], 0
     for batch in batches:
-        found = []
         for part, text, at in text_batches(batch, "__text", SLICE):
             number, start, count, place, anchor, content = bundles(text, at)
             key = part.column(0).to_numpy(zero_copy_only=False)[number]
             found.append((anchor.view(np.int64), content.view(np.int64), key, start, count, place))
-        if not found:
-            continue
-        anchor, content, key, start, count, place = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((start, key, content, anchor))
-        anchor, content, key, start = anchor[order], content[order], key[order], start[order].astype(np.int32)
-        lead = np.ones(len(order), bool)
-        lead[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
-        first = np.flatnonzero(lead)
-        more = np.diff(np.append(first, len(order))) - 1
-        places = pa.StructArray.from_arrays([pa.array(key[~lead]), pa.array(start[~lead])], names=["key", "start"])
-        at = pa.array(np.concatenate([[0], np.cumsum(more)]).astype(np.int32))
-        others = pa.ListArray.from_arrays(at, places, mask=pa.array(more == 0))
-        small = [count[order][first].astype(np.int32), place[order][first].astype(np.int32)]
-        arrays = [pa.array(x) for x in (anchor[first], content[first], key[first], start[first], *small)]
-        yield pa.RecordBatch.from_arrays([*arrays, others], names=names)
+            held += len(start)
+            if held >= GROUPED:
+                yield _grouped(found)
+                found, held = [], 0
+    if held:
+        yield _grouped(found)
 
 
 def _packed(batches):
