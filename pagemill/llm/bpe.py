@@ -35,7 +35,9 @@ ONE_LETTER, TWO_LETTERS = ("s", "t", "m", "d"), ("re", "ve", "ll")
 #: Characters composed one by one within a row of the scan.
 ROW = 256
 #: Pieces that a worker's cache holds before it starts anew.
-CACHE = 500_000
+CACHE = 200_000
+#: Bytes of text handled at once.
+SLICE = 1 << 20
 
 
 @functools.cache
@@ -324,10 +326,27 @@ def valid_text(column: str = "text"):
     return F.when(F.is_valid_utf8(column), F.col(column)).otherwise(F.make_valid_utf8(column))
 
 
-def encode(docs: DataFrame, ranks: str, keep: tuple[str, ...] = ("doc_id",), with_offsets: bool = True) -> DataFrame:
+def decoded_bytes(ids: np.ndarray, counts: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of concatenated id lists, and the number of bytes of each list."""
+    table, at = token_table(path)
+    lengths = np.diff(at)[ids]
+    size = np.concatenate([[0], np.cumsum(lengths)])
+    return table[ranges(at[ids], lengths)], np.diff(size[np.concatenate([[0], np.cumsum(counts)])])
+
+
+def _same(text: np.ndarray, at: np.ndarray, back: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which texts equal their decoded forms."""
+    cut = np.concatenate([[0], np.cumsum(size)])
+    raw, other = text.tobytes(), back.tobytes()
+    return np.array([raw[at[i] : at[i + 1]] == other[cut[i] : cut[i + 1]] for i in range(len(size))], bool)
+
+
+def encode(
+    docs: DataFrame, ranks: str, keep: tuple[str, ...] = ("doc_id",), with_offsets: bool = True, verify: bool = False
+) -> DataFrame:
     """keep, ids and (with_offsets) ends: token ids and end byte offsets as little-endian 32-bit integers.
 
-    ranks: path of a rank file that every executor can read. Null and empty texts give no ids. Every row is encoded
+    With verify, round_trip says whether decoding gave the text back. ranks: path of a rank file that every executor can read. Null and empty texts give no ids. Every row is encoded
     for itself, so ties and repeated rows don't matter; columns of docs other than keep are not read.
     """
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
@@ -336,16 +355,18 @@ def encode(docs: DataFrame, ranks: str, keep: tuple[str, ...] = ("doc_id",), wit
         encoder = _encoder(ranks)
         lengths = np.diff(token_table(ranks)[1]) if with_offsets else None
         for batch in batches:
-            for part, text, at in text_batches(batch, "__text"):
+            for part, text, at in text_batches(batch, "__text", SLICE):
                 ids, counts = encoder.encode(text, at)
                 out = [part.column(i) for i in range(len(keep))] + [_binary(ids.astype("<u4"), counts)]
                 if with_offsets:
                     ends = np.concatenate([[0], np.cumsum(lengths[ids])])
                     first = np.concatenate([[0], np.cumsum(counts)])[:-1]
                     out.append(_binary((ends[1:] - np.repeat(ends[first], counts)).astype("<u4"), counts))
-                yield pa.RecordBatch.from_arrays(out, names=[*keep, "ids", *["ends"] * with_offsets])
+                if verify:
+                    out.append(pa.array(_same(text, at, *decoded_bytes(ids, counts, ranks))))
+                yield pa.RecordBatch.from_arrays(out, names=[*keep, "ids", *["ends"] * with_offsets, *["round_trip"] * verify])
 
-    more = ", ends binary" if with_offsets else ""
+    more = (", ends binary" if with_offsets else "") + (", round_trip boolean" if verify else "")
     return docs.select(*keep, valid_text().alias("__text")).mapInArrow(run, f"{fields}, ids binary{more}")
 
 
@@ -356,13 +377,10 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     names = [*encoded.columns, "decoded"]
 
     def run(batches):
-        table, at = token_table(ranks)
-        lengths = np.diff(at)
         for batch in batches:
-            for part, raw, cut in text_batches(batch, "ids"):
+            for part, raw, cut in text_batches(batch, "ids", SLICE):
                 ids = np.frombuffer(raw.tobytes(), "<u4")
-                size = np.concatenate([[0], np.cumsum(lengths[ids])])
-                decoded = _binary(table[ranges(at[ids], lengths[ids])], np.diff(size[cut // 4]))
+                decoded = _binary(*decoded_bytes(ids, np.diff(cut // 4), ranks))
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=names)
 
     return encoded.mapInArrow(run, f"{fields}, decoded binary")
