@@ -29,7 +29,7 @@ from pagemill.llm.common import WORD, durable, mixed, offsets, row_key, run_hash
 BANDS, ROWS = 28, 4
 COORDINATES = BANDS * ROWS
 SLOTS = 1 << 20
-#: Pairs whose signatures agree in less than this share can't be links: at 0.8 that is 4.7 standard deviations off.
+#: Pairs whose signatures agree in less than this share are no candidates: at 0.8 that is 4.7 standard deviations off.
 MAYBE = 0.62
 #: Classes of one bucket that a task compares with those outside the leader's component.
 BLOCK = 500
@@ -327,7 +327,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     alone = signed.filter("n = 0 or doc_id is null").select("doc_id", "key", "n", F.col("doc_id").alias("component_id"))
     out = linked.select("doc_id", "key", "n", "component_id").unionByName(alone)
     return out.select(
-        "doc_id", "key", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+        "doc_id",
+        "key",
+        F.col("n").alias("n_shingles"),
+        "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
 
 

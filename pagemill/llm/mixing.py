@@ -68,7 +68,7 @@ def mix(docs: DataFrame, size: Column | None = None) -> DataFrame:
     named like a result column are replaced. An empty table gives an empty table.
     """
     size = word_count(F.col("text")) if size is None else size
-    kept = [c for c in docs.columns if c.lower() not in {"size", "source_size", "target", "rate", "copies", "taken", "seed"}]
+    kept = [c for c in docs.columns if c.lower() not in {"size", "source_size", "target", "rate", "copies", "taken"}]
     docs = docs.select(*kept)
     sizes = durable(docs.select("doc_id", "source", size.alias("size")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -83,11 +83,12 @@ def mix(docs: DataFrame, size: Column | None = None) -> DataFrame:
     drawn = rated.groupBy("of", "target", "rate").agg(F.sum("size").alias("source_size"), *sums)
     whole = F.floor("rate") * F.col("source_size")
     tries = [F.struct(F.abs(whole + F.col(f"s{i}") - F.col("target")).alias("off"), F.lit(i).alias("seed")) for i in range(SEEDS)]
-    best = durable(drawn.select("of", "source_size", "target", "rate", F.array_min(F.array(*tries))["seed"].alias("seed")))
-    out = docs.withColumn("size", size).join(best, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    copies = (F.floor("rate") + extra(F.col("seed"))).cast("int")
+    seed = F.array_min(F.array(*tries))["seed"].alias("__seed")
+    best = durable(drawn.select(F.col("of").alias("__of"), "source_size", "target", "rate", seed))
+    out = docs.withColumn("size", size).join(best, F.col("source").eqNullSafe(F.col("__of"))).drop("__of")
+    copies = (F.floor("rate") + extra(F.col("__seed"))).cast("int")
     out = out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-    return out.drop("seed")
+    return out.drop("__seed")
 
 
 def repeat_rows(mixed: DataFrame) -> DataFrame:

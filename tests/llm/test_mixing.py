@@ -5,7 +5,8 @@ from pagemill.llm import mixing
 
 
 def frame(spark, rows):
-    return spark.createDataFrame(rows, "doc_id long, source string, text string, rate string, Size int")
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, rate string, Size int")
+    return df.selectExpr("*", "1 AS of", "2 AS seed")
 
 
 def rows(n=3000):
@@ -23,7 +24,7 @@ def test_targets_by_hand(spark):
 
 def test_totals_and_bounds(spark):
     out = mixing.mix(frame(spark, rows())).collect()
-    assert len(out) == 3003
+    assert len(out) == 3003 and all((r.of, r.seed) == (1, 2) for r in out)
     by_source = {}
     for r in out:
         assert 0 <= r.taken <= 2 * r.size and r.taken == r.copies * r.size
