@@ -1,11 +1,11 @@
 """The three end-to-end jobs."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.functions.urls import canonical_url
 from pagemill.operators import links as L
 from pagemill.operators import pages as P
-from pagemill.operators import threads as T
 
 
 def current_page_records(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -16,25 +16,33 @@ def current_page_records(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def crawl_frontier(pages: DataFrame, k: int) -> DataFrame:
-    """W2: the k most linked addresses that aren't saved yet."""
-    links = L.extract_links(pages)
-    ahead = L.frontier(links, pages).withColumnRenamed("target", "canon")
-    counts = links.filter(F.col("target").isNotNull()).select(
-        L.canonical_url(F.col("target")).alias("canon"), "page_id"
-    )
-    by_page = counts.groupBy("canon", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    """W2: the k most linked addresses that aren't saved yet.
+
+    Links are counted by (address, page) before they meet, and known addresses are subtracted from the counts, so pages
+    are parsed once.
+    """
+    links = L.extract_links(pages).filter(F.col("target").isNotNull())
+    by_page = links.groupBy(canonical_url(F.col("target")).alias("canon"), "page_id").agg(F.count(F.lit(1)).alias("n"))
     ranked = by_page.groupBy("canon").agg(F.sum("n").alias("n_links"), F.count("page_id").alias("n_pages"))
-    return ranked.join(ahead, "canon", "left_semi").orderBy(F.desc("n_links"), "canon").limit(k)
+    known = pages.select(canonical_url(F.col("url")).alias("canon"))
+    return ranked.join(known, "canon", "left_anti").orderBy(F.desc("n_links"), "canon").limit(k)
 
 
 def thread_report(messages: DataFrame) -> DataFrame:
-    """W3: rollup of each thread with the number of changes of author and of missing messages."""
-    context = T.message_context(messages)
-    turns = context.groupBy("thread_id").agg(
-        F.count_if(~F.col("author").eqNullSafe(F.col("prev_author")) & F.col("prev_author").isNotNull()).alias("n_switches")
-    )
-    gaps = T.message_gaps(messages).groupBy("thread_id").agg(
-        F.sum(F.col("gap_to") - F.col("gap_from") + 1).alias("n_missing")
+    """W3: messages, characters, authors, last author, changes of author and missing numbers of each thread.
+
+    One shuffle by thread, of short rows: the window and all aggregates after it share its partitioning.
+    """
+    w = Window.partitionBy("thread_id").orderBy("seq")
+    t = messages.select("thread_id", "seq", "author", F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
+    t = t.withColumns({"prev_author": F.lag("author").over(w), "prev_seq": F.lag("seq").over(w)})
+    changed = ~F.col("author").eqNullSafe(F.col("prev_author")) & F.col("prev_author").isNotNull()
+    before = F.greatest(F.coalesce("prev_seq", F.lit(-1)), F.lit(-1))
+    return t.groupBy("thread_id").agg(
+        F.count(F.lit(1)).alias("n_messages"),
+        F.sum("chars").alias("n_chars"),
+        F.count_distinct("author").alias("n_authors"),
+        F.max(F.struct("seq", "author"))["author"].alias("last_author"),
+        F.count_if(changed).alias("n_switches"),
+        F.sum(F.greatest(F.col("seq") - before - 1, F.lit(0))).alias("n_missing"),
     )
-    out = T.thread_rollup(messages).join(turns, "thread_id", "left").join(gaps, "thread_id", "left")
-    return out.withColumn("n_missing", F.coalesce("n_missing", F.lit(0).cast("long")))
