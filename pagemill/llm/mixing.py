@@ -15,6 +15,13 @@ WEIGHTS = (3, 1, 2)
 #: The mix as a share of all sizes, and the most that a source may repeat.
 SHARE, MOST = 1.5, 2
 SEEDS = 16
+#: Sources up to which their rates are broadcast. More meet their documents by a join, whose hot sources Spark splits.
+BROADCAST_SOURCES = 10_000
+
+
+def _beside(by_source: DataFrame) -> DataFrame:
+    """A stored table of sources, to be broadcast if it has few enough rows: texts then stay where they are."""
+    return F.broadcast(by_source) if by_source.count() <= BROADCAST_SOURCES else by_source
 
 
 def word_count(text: Column) -> Column:
@@ -78,14 +85,14 @@ def mix(docs: DataFrame, size: Column | None = None) -> DataFrame:
         return (draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("long")
 
     t = targets.select(F.col("source").alias("of"), "source_size", "target", "rate")
-    rated = sizes.join(t, F.col("source").eqNullSafe(F.col("of")))
+    rated = sizes.join(_beside(t), F.col("source").eqNullSafe(F.col("of")))
     sums = [F.sum(F.col("size") * extra(F.lit(i))).alias(f"s{i}") for i in range(SEEDS)]
     drawn = rated.groupBy("of", "target", "rate").agg(F.sum("size").alias("source_size"), *sums)
     whole = F.floor("rate") * F.col("source_size")
     tries = [F.struct(F.abs(whole + F.col(f"s{i}") - F.col("target")).alias("off"), F.lit(i).alias("seed")) for i in range(SEEDS)]
     seed = F.array_min(F.array(*tries))["seed"].alias("__seed")
     best = durable(drawn.select(F.col("of").alias("__of"), "source_size", "target", "rate", seed))
-    out = docs.withColumn("size", size).join(best, F.col("source").eqNullSafe(F.col("__of"))).drop("__of")
+    out = docs.withColumn("size", size).join(_beside(best), F.col("source").eqNullSafe(F.col("__of"))).drop("__of")
     copies = (F.floor("rate") + extra(F.col("__seed"))).cast("int")
     out = out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
     return out.drop("__seed")

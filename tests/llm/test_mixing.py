@@ -38,7 +38,9 @@ def test_totals_and_bounds(spark):
     assert again == {(r.doc_id, r.taken, r.size) for r in out}
 
 
-def test_same_as_sql(spark):
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_same_as_sql(spark, monkeypatch, most):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", most)
     docs = frame(spark, [r for r in rows(400) if r[0] is not None])
     documents = docs.toPandas()  # noqa: F841
     want = sorted(duckdb.sql(mixing.mix_sql()).fetchall())
