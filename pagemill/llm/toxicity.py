@@ -14,19 +14,21 @@ A document's evidence is its log-likelihood under either model per word, over th
 window, and the ratios of single words as far as they exceed MARKED, turned into a probability by a logistic fit on
 labelled documents that the counts have not seen.
 
-All counting is a shuffle of (pair of words, counts) rows. The fitted model is bounded by max_words and max_pairs
-whatever the corpus, which is what allows it to be broadcast; what falls outside backs off to the lower level.
+All counting is a shuffle of (pair of words, counts) rows, over all labelled documents. The most frequent words and
+pairs, up to max_words and max_pairs, are broadcast. The ratios of all others stay a table: the words and pairs of a
+document that are not in the broadcast are looked up in it by a join. A broadcast filter of bounded size spares most of
+the look-ups that would find nothing; it never changes a score.
 """
 
 import functools
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import durable, run_hashes, text_batches
+from pagemill.llm.common import durable, mixed, row_key, run_hashes, text_batches
 
 #: Bounds on one word's log-likelihood ratio: a toxic text consists mostly of ordinary words.
 EVIDENCE = (-2.0, 8.0)
@@ -41,6 +43,10 @@ WINDOW = 4
 RARE = 3
 #: Bound on the labelled documents that the logistic calibration is fitted on.
 CALIBRATION_ROWS = 20_000
+#: Bound on the bits of the filter before look-ups, a power of two.
+FILTER_BITS = 1 << 27
+#: What stands for the first word in the key of a word by itself: hashes of words are odd, and 0 is the start of a text.
+ALONE = 2
 MADE = ("__n_words", "__mean_llr", "__peak_llr", "__marked_llr", "__score")
 
 
@@ -71,25 +77,52 @@ def _before(words: np.ndarray, per_text: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Log-likelihood ratios, toxic over ordinary; words and pairs are sorted. An unknown word speaks for neither."""
+    """Log-likelihood ratios, toxic over ordinary; words and pairs are sorted. An unknown word speaks for neither.
+
+    beyond has the ratios (want, llr) of the words and pairs that are not in the arrays, if any; bits is its filter.
+    """
 
     words: np.ndarray
     word_llr: np.ndarray
     pairs: np.ndarray
     pair_llr: np.ndarray
     weights: np.ndarray
-
-    def token_llr(self, words: np.ndarray, prev: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(words))
-        i, found = _find(self.words, words)
-        out = np.where(found, self.word_llr[i], 0.0)
-        if len(self.pairs):
-            known = np.flatnonzero(found)
-            k, hit = _find(self.pairs, _pair(prev[known], words[known]))
-            out[known[hit]] = self.pair_llr[k[hit]]
+    bits: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    beyond: DataFrame | None = None
+
+    def token_llr(self, words: np.ndarray, prev: np.ndarray, wants: np.ndarray, llr: np.ndarray) -> np.ndarray:
+        """Ratios of words after prev; wants (sorted) and llr are what was looked up for these texts."""
+        out = np.zeros(len(words))
+        pairs = _pair(prev, words)
+        for table, ratios, keys in (
+            (self.words, self.word_llr, words),
+            (wants, llr, _pair(np.full_like(words, ALONE), words)),
+            (self.pairs, self.pair_llr, pairs),
+            (wants, llr, pairs),
+        ):
+            if len(table):
+                i, found = _find(table, keys)
+                out[found] = ratios[i[found]]
         return out
 
+    def wanted(self, words: np.ndarray, prev: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (text, key) of the words and pairs that are not in the arrays and pass the filter."""
+        both = ((self.pairs, _pair(prev, words), _pair(prev, words)), (self.words, words, _pair(np.full_like(words, ALONE), words)))
+        of, want = [], []
+        for table, keys, key in both:
+            slot = _slots(key, len(self.bits))
+            asked = (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+            if len(table):
+                asked &= ~_find(table, keys)[1]
+            of.append(text[asked])
+            want.append(key[asked])
+        of, want = np.concatenate(of), np.concatenate(want)
+        order = np.lexsort((want, of))
+        of, want = of[order], want[order]
+        new = np.ones(len(of), bool)
+        new[1:] = (of[1:] != of[:-1]) | (want[1:] != want[:-1])
+        return of[new], want[new]
+
     def probability(self, features: np.ndarray) -> np.ndarray:
         z = np.clip(design(features) @ self.weights, -500, 500)
         return 1 / (1 + np.exp(-z))
@@ -99,6 +132,11 @@ def _pair(prev: np.ndarray, words: np.ndarray) -> np.ndarray:
     return ((prev.astype(np.uint64) << np.uint64(32)) | words).view(np.int64)
 
 
+def _slots(keys: np.ndarray, n_bits: int) -> np.ndarray:
+    """Bit of each key in a filter of so many 64-bit words."""
+    return mixed(keys.view(np.uint64)) & np.uint64(64 * n_bits - 1)
+
+
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     i = np.minimum(np.searchsorted(table, keys), len(table) - 1)
     return i, table[i] == keys
@@ -111,13 +149,13 @@ def design(features: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(n)), np.log(n + 32), np.clip(mean, -3, 3), np.clip(peak, -3, 8), np.log1p(marked)])
 
 
-def features(model: Model, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+def features(model: Model, text: np.ndarray, at: np.ndarray, wants: np.ndarray, found: np.ndarray) -> np.ndarray:
     words, per_text = word_hashes(text, at)
     out = np.zeros((len(per_text), 4))
     out[:, 0] = per_text
     if not len(words):
         return out
-    llr = model.token_llr(words, _before(words, per_text))
+    llr = model.token_llr(words, _before(words, per_text), wants, found)
     total = np.concatenate([[0.0], np.cumsum(llr)])
     stop = np.cumsum(per_text)
     full = per_text > 0
@@ -156,15 +194,15 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
     return np.array([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]).clip(0, [0, 0.99, 1.9, 2.9])
 
 
-def _at_least(counts: DataFrame, most: int) -> DataFrame:
-    """The rows with the highest n, at most so many: all rows above the least count that keeps to the bound."""
+def _least_count(counts: DataFrame, most: int) -> int:
+    """The least n down to which counts has at most so many rows."""
     spread = counts.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).count().orderBy(F.desc("n")).collect()
     least, kept = (1 << 20) + 1, 0
     for r in spread:
         if kept + r["count"] > most:
             break
         least, kept = r["n"], kept + r["count"]
-    return counts.filter(F.col("n") >= least)
+    return least
 
 
 def _arrays(bounded: DataFrame, order: str | None = None) -> dict[str, np.ndarray]:
@@ -203,51 +241,78 @@ def count_model(labelled: DataFrame, max_words: int, max_pairs: int) -> Model:
     empty = np.zeros(0)
     if not n_tox or not n_ord:
         return Model(empty.astype(np.uint32), empty, empty.astype(np.int64), empty, np.zeros(5))
-    followers = seen.groupBy(F.col("v").alias("w")).agg(
-        F.count_if(F.col("tox") > 0).alias("f_tox"),
-        F.count_if(F.col("ord") > 0).alias("f_ord"),
-        F.sum("tox").alias("v_tox"),
-        F.sum("ord").alias("v_ord"),
-    )
-    kept = _arrays(_at_least(as_word, max_words).join(followers, "w", "left").fillna(0), "w")
-    word = kept["w"].astype(np.uint32)
     less_tox, less_ord = discounts(*freq[:4]), discounts(*freq[4:])
-    shared = (np.minimum(kept["before"], RARE) + 0.5) / (n_before + 0.5 * n_types)
 
     def taken(count, less):
         return less[np.minimum(count, 3)]
 
-    def unigram(count, less, freq, total, types):
+    def unigram(count, less, freq, total, types, shared):
         held = (freq[0] * less[1] + freq[1] * less[2] + (types - freq[0] - freq[1]) * less[3]) / total
         return (count - taken(count, less)) / total + held * shared
 
-    p_tox = unigram(kept["tox"], less_tox, freq[:4], n_tox, types_tox)
-    p_ord = unigram(kept["ord"], less_ord, freq[4:], n_ord, types_ord)
-    word_llr = np.clip(_ratio(p_tox, p_ord), *EVIDENCE)
-    v_tox, v_ord = kept["v_tox"], kept["v_ord"]
-    often = pairs.withColumn("n", F.expr("tox + ord")).filter(F.col("n") >= 3)
-    top = _arrays(_at_least(often, max_pairs), "pair")
-    key = top["pair"]
-    v = (key.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
-    i, found = _find(word, (key.view(np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-    j, context = _find(word, v)
-    keep = found & context
-    key, i, j, top = key[keep], i[keep], j[keep], {c: x[keep] for c, x in top.items()}
+    def rate_words(batches):
+        for batch in batches:
+            w, n, tox, ordinary, before = (c.to_numpy() for c in batch.columns)
+            shared = (np.minimum(before, RARE) + 0.5) / (n_before + 0.5 * n_types)
+            p_tox = unigram(tox, less_tox, freq[:4], n_tox, types_tox, shared)
+            p_ord = unigram(ordinary, less_ord, freq[4:], n_ord, types_ord, shared)
+            llr = np.clip(_ratio(p_tox, p_ord), *EVIDENCE)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w, n, p_tox, p_ord, llr)], names=["w", "n", "p_tox", "p_ord", "llr"])
 
     def bigram(count, less, total, follow, p):
-        back = np.where(total > 0, less[3] * follow / np.maximum(total, 1), 1.0).clip(1e-3, 1)
-        return (count - taken(count, less)) / np.maximum(total, 1) + back * p
+        back = (less[3] * follow / total).clip(1e-3, 1)
+        return (count - taken(count, less)) / total + back * p
 
-    pair_llr = _ratio(
-        bigram(top["tox"], less_tox, v_tox[j], kept["f_tox"][j], p_tox[i]),
-        bigram(top["ord"], less_ord, v_ord[j], kept["f_ord"][j], p_ord[i]),
+    def rate_pairs(batches):
+        for batch in batches:
+            pair, tox, ordinary, f_tox, f_ord, v_tox, v_ord, p_tox, p_ord, word_llr = (c.to_numpy() for c in batch.columns)
+            llr = _ratio(bigram(tox, less_tox, v_tox, f_tox, p_tox), bigram(ordinary, less_ord, v_ord, f_ord, p_ord))
+            # A context that one class has hardly seen can't be compared: the pair then counts as its second word does.
+            seen_by_both = np.minimum(v_tox, v_ord)
+            trust = seen_by_both / (seen_by_both + 5.0)
+            llr = np.clip(word_llr + np.clip(trust * (llr - word_llr), *PAIR_EVIDENCE), *EVIDENCE)
+            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(tox + ordinary), pa.array(llr)], names=["pair", "n", "llr"])
+
+    words = as_word.select("w", "n", "tox", "ord", "before")
+    words = durable(words.mapInArrow(rate_words, "w long, n long, p_tox double, p_ord double, llr double"))
+    # Pairs after a context that only one class has seen count as their second word does, so they need no row.
+    contexts = seen.filter("v <> 0").groupBy("v").agg(
+        F.count_if(F.col("tox") > 0).alias("f_tox"),
+        F.count_if(F.col("ord") > 0).alias("f_ord"),
+        F.sum("tox").alias("v_tox"),
+        F.sum("ord").alias("v_ord"),
+    ).filter("v_tox > 0 and v_ord > 0")
+    rated = seen.join(contexts, "v").join(words.drop("n"), "w")
+    pair = F.shiftleft("v", 32).bitwiseOR(F.col("w")).alias("pair")
+    rated = rated.select(pair, "tox", "ord", "f_tox", "f_ord", "v_tox", "v_ord", "p_tox", "p_ord", "llr")
+    rated = durable(rated.mapInArrow(rate_pairs, "pair long, n long, llr double"))
+    word_n, pair_n = _least_count(words, max_words), _least_count(rated, max_pairs)
+    top = _arrays(words.filter(F.col("n") >= word_n).select("w", "llr"), "w")
+    top_pairs = _arrays(rated.filter(F.col("n") >= pair_n).select("pair", "llr"), "pair")
+    model = Model(top["w"].astype(np.uint32), top["llr"], top_pairs["pair"], top_pairs["llr"], np.zeros(5))
+    alone = F.col("w").bitwiseOR(F.lit(ALONE << 32))
+    beyond = words.filter(F.col("n") < word_n).select(alone.alias("want"), "llr").unionByName(
+        rated.filter(F.col("n") < pair_n).select(F.col("pair").alias("want"), "llr")
     )
-    # A context that one class has hardly seen can't be compared: the pair then counts as its second word does.
-    seen_by_both = np.minimum(v_tox, v_ord)[j]
-    trust = seen_by_both / (seen_by_both + 5.0)
-    pair_llr = word_llr[i] + np.clip(trust * (pair_llr - word_llr[i]), *PAIR_EVIDENCE)
-    pair_llr = np.clip(pair_llr, *EVIDENCE)
-    return Model(word, word_llr, key, pair_llr, np.zeros(5))
+    if n := beyond.count():
+        model.bits, model.beyond = _filter_bits(beyond, n), beyond
+    return model
+
+
+def _filter_bits(beyond: DataFrame, n: int) -> np.ndarray:
+    """Bits of all keys that can be looked up, eight or more for each up to FILTER_BITS."""
+    size = min(FILTER_BITS, 1 << max(6, (8 * n).bit_length())) // 64
+
+    def slots(batches):
+        for batch in batches:
+            slot = _slots(batch.column(0).to_numpy(), size)
+            bit = np.uint64(1) << (slot & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).view(np.int64)), pa.array(bit.view(np.int64))], names=["at", "bit"])
+
+    found = _arrays(beyond.select("want").mapInArrow(slots, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bit")))
+    bits = np.zeros(size, np.uint64)
+    bits[found["at"]] = found["bit"].view(np.uint64)
+    return bits
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -264,23 +329,55 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def _looked_up(rows: DataFrame, beyond: DataFrame, shared) -> DataFrame:
+    """(__key, __found): the ratios that the rows (__key, text) need besides the broadcast ones."""
+
+    def ask(batches):
+        model = shared.value
+        for batch in batches:
+            for part, text, at in text_batches(batch, "text"):
+                words, per_text = word_hashes(text, at)
+                of, want = model.wanted(words, _before(words, per_text), np.repeat(np.arange(len(per_text)), per_text))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(of)), pa.array(want)], names=["__key", "want"])
+
+    asked = rows.select("__key", "text").mapInArrow(ask, "__key long, want long")
+    return asked.join(beyond, "want").groupBy("__key").agg(F.collect_set(F.struct("want", "llr")).alias("__found"))
+
+
+def _found(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All keys that were looked up for the texts of a slice, sorted, and their ratios."""
+    want, llr = (x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten())
+    want, first = np.unique(want, return_index=True)
+    return want, llr[first]
+
+
 def with_features(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns in keep and the features of text. Rows are not shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """The columns in keep and the features of text. docs needs doc_id and text.
+
+    Rows are shuffled only if the model has words or pairs beyond its broadcast arrays.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, beyond=None))
     fields = [docs.schema[c] for c in keep]
     made = "__n_words int, __mean_llr double, __peak_llr double, __marked_llr double, __score double"
     out_schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), made])
+    rows = docs.select(*keep, *([] if "text" in keep else ["text"]), row_key(F.col("doc_id"), F.col("text")).alias("__key"))
+    if model.beyond is None:
+        rows = rows.drop("__key")
+    else:
+        rows = rows.join(_looked_up(rows, model.beyond, shared).hint("shuffle_hash"), "__key", "left")
+    nothing = np.zeros(0, np.int64), np.zeros(0)
 
     def score(batches):
         model = shared.value
         for batch in batches:
             for part, text, at in text_batches(batch, "text"):
-                x = features(model, text, at)
+                place = part.schema.get_field_index("__found")
+                x = features(model, text, at, *(_found(part.column(place)) if place >= 0 else nothing))
                 arrays = [part.column(part.schema.get_field_index(c)) for c in keep]
                 more = [pa.array(x[:, 0].astype(np.int32)), *(pa.array(x[:, i]) for i in (1, 2, 3)), pa.array(model.probability(x))]
                 yield pa.RecordBatch.from_arrays([*arrays, *more], names=[*keep, *MADE])
 
-    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(score, out_schema)
+    return rows.mapInArrow(score, out_schema)
 
 
 def fit(
@@ -289,14 +386,12 @@ def fit(
     """Fit on labelled documents outside fold 2: folds 0 and 1 are counted, fold 3 calibrates.
 
     docs: (doc_id, text); labels: (doc_id, toxic). Rows with a null label are not labelled. Labels that disagree on
-    one id count as toxic. Up to max_labelled labels, chosen by a hash of the id where there are more, are used, which
-    bounds their broadcast: the texts of documents are never shuffled. At most CALIBRATION_ROWS documents calibrate.
+    one id count as toxic. All labelled documents are counted. Up to max_labelled labels are broadcast; more meet their
+    documents by a join that shuffles texts. About CALIBRATION_ROWS documents calibrate.
     """
     known = labels.filter("toxic is not null and doc_id is not null").withColumn("fold", fold(F.col("doc_id")))
     known = known.filter("fold <> 2").groupBy("doc_id", "fold").agg(F.max("toxic").alias("toxic"))
-    if (n := known.count()) > max_labelled:
-        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_labelled / n))
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known) if known.count() <= max_labelled else known, "doc_id")
     model = count_model(rows.filter("fold in (0, 1)"), max_words, max_pairs)
     spare = rows.filter("fold = 3")
     n = known.filter("fold = 3").count()

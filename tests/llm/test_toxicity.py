@@ -67,6 +67,16 @@ def test_no_labels_and_no_rows(spark, tables):
     assert T.toxicity_scores(docs.limit(0), labels).collect() == []
 
 
+@pytest.mark.parametrize("bounds", [{"max_words": 3, "max_pairs": 5}, {"max_words": 40, "max_pairs": 0}, {"max_labelled": 10}])
+def test_bounds_of_the_broadcast_do_not_change_scores(spark, tables, bounds):
+    def scores(**bounds):
+        return sorted((r.doc_id or -1, r.score) for r in T.toxicity_scores(*tables, **bounds).collect())
+
+    whole, bounded = scores(), scores(**bounds)
+    assert [i for i, _ in whole] == [i for i, _ in bounded]
+    assert np.allclose([x for _, x in whole], [x for _, x in bounded], atol=1e-6)
+
+
 def test_discounts_and_words():
     assert (T.discounts(0, 0, 0, 0) == [0, 0.75, 0.75, 0.75]).all()
     d = T.discounts(100, 40, 20, 12)
