@@ -20,6 +20,8 @@ ESCAPES = (("\\", "\\s"), ("[", "\\o"), ("]", "\\c"), ("|", "\\b"))
 #: Role whose texts count for the loss.
 TAUGHT = "assistant"
 TURN = "array<struct<role:string,text:string>>"
+#: Bytes of a record up to which it surely parses: a variant has 128 MiB, a text in it 20,000,000 characters.
+PARSED = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -76,18 +78,22 @@ def fingerprint(record: Column) -> Column:
     return F.sha2(F.concat_ws("\n", every), 256)
 
 
-def canonical_turns(record: Column, print_: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
-    """Turns of a variant by the mapping that its fingerprint picks; an empty array if none does."""
+def canonical_turns(record: Column, print_: Column, layouts: tuple[Layout, ...] = LAYOUTS, typed: bool = False) -> Column:
+    """Turns of a variant by the mapping that its fingerprint picks; an empty array if none does.
+
+    With typed, record is a struct that has the fields of all layouts with turns.
+    """
+    get = (lambda path, kind: record[path]) if typed else (lambda path, kind: F.variant_get(record, f"$.{path}", kind))
     out = F.lit(None).cast(TURN)
     for layout in layouts:
         if layout.array:
             role, text = layout.turns[0]
-            items = F.variant_get(record, f"$.{layout.array}", f"array<struct<`{role}`:string,`{text}`:string>>")
+            items = get(layout.array, f"array<struct<`{role}`:string,`{text}`:string>>")
             turns = F.transform(items, lambda x: F.struct(x[role].alias("role"), x[text].alias("text")))  # noqa: B023
         else:
             turns = F.array(
                 *(
-                    F.struct(F.lit(role).alias("role"), F.variant_get(record, f"$.{path}", "string").alias("text"))
+                    F.struct(F.lit(role).alias("role"), get(path, "string").alias("text"))
                     for role, path in layout.turns
                 )
             ).cast(TURN)
@@ -160,14 +166,22 @@ def loss_spans(formatted: Column) -> Column:
 def format_records(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """records with fingerprint, turns and formatted, from a JSON text column raw.
 
-    Null, malformed and unknown records have no turns and format to the empty text. Every row is formatted for itself:
+    Null, malformed and unknown records have no turns and format to the empty text. A record of more than PARSED bytes
+    that can't be parsed may be beyond the parser's limits and is an error. Where a struct column __record of
+    conversation_records is not null, turns come from it, and raw has only the layout. Every row is formatted for itself:
     ties and repeated rows don't matter. Columns of records named like a result column are replaced.
     """
     kept = [c for c in records.columns if c.lower() not in {"fingerprint", "turns", "formatted", "__v"}]
-    r = records.select(*kept, F.try_parse_json("raw").alias("__v"))
+    v = F.try_parse_json("raw")
+    lost = v.isNull() & (F.octet_length("raw") > PARSED)
+    r = records.select(*kept, F.when(lost, F.raise_error("a record is too large to be parsed")).otherwise(v).alias("__v"))
     r = r.withColumn("fingerprint", fingerprint(F.col("__v")))
-    r = r.withColumn("turns", canonical_turns(F.col("__v"), F.col("fingerprint"), layouts))
-    return r.withColumn("formatted", render(F.col("turns"))).drop("__v")
+    turns = canonical_turns(F.col("__v"), F.col("fingerprint"), layouts)
+    if "__record" in kept:
+        typed = canonical_turns(F.col("__record"), F.col("fingerprint"), LAYOUTS, typed=True)
+        turns = F.when(F.col("__record").isNull(), turns).otherwise(typed)
+    r = r.withColumn("turns", turns)
+    return r.withColumn("formatted", render(F.col("turns"))).drop("__v", "__record")
 
 
 def digest(formatted: DataFrame) -> DataFrame:
@@ -200,12 +214,13 @@ def digest_sql(turns: str) -> str:
     FROM t GROUP BY conv_id"""
 
 
-def conversation_records(turns: DataFrame) -> DataFrame:
-    """(conv_id, raw): conversations as JSON in the layout that their roles allow.
+def conversation_records(turns: DataFrame, most: int = PARSED) -> DataFrame:
+    """(conv_id, raw, __record): conversations as JSON in the layout that their roles allow.
 
     A user and an assistant turn make a prompt record; system, user and assistant an instruction record; an odd
     number of turns a message list, an even one the shared layout. Turns are in order of turn, then role, then text.
-    A conversation is one record, so its turns meet in one row.
+    A conversation is one record, so its turns meet in one row. One of more than most bytes could not be parsed: its raw
+    has the fields of its layout without roles and texts, which are in the struct __record, null for the others.
     """
     one = F.struct(
         F.col("turn").isNull().alias("no_turn"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
@@ -213,15 +228,41 @@ def conversation_records(turns: DataFrame) -> DataFrame:
     c = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("t"))
     roles = F.transform("t", lambda x: x["role"])
     at = lambda i: F.col("t")[i]["text"]
-    prompt = F.to_json(F.struct(at(0).alias("prompt"), at(1).alias("completion")))
-    instruction = F.to_json(F.struct(at(0).alias("instruction"), at(1).alias("input"), at(2).alias("output")))
+    is_ = lambda *r: roles == F.array(*map(F.lit, r))
     messages = F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content")))
     shared = F.transform("t", lambda x: F.struct(x["role"].alias("from"), x["text"].alias("value")))
-    is_ = lambda *r: roles == F.array(*map(F.lit, r))
-    raw = (
-        F.when(is_("user", "assistant"), prompt)
-        .when(is_("system", "user", "assistant"), instruction)
-        .when(F.size("t") % 2 == 1, F.to_json(F.struct(messages.alias("messages"))))
-        .otherwise(F.to_json(F.struct(shared.alias("conversations"))))
+    no = F.lit("")
+    #: Fields of each layout, the same without roles and texts, and where the layout holds.
+    cases = (
+        ({"prompt": at(0), "completion": at(1)}, {"prompt": no, "completion": no}, is_("user", "assistant")),
+        (
+            {"instruction": at(0), "input": at(1), "output": at(2)},
+            {"instruction": no, "input": no, "output": no},
+            is_("system", "user", "assistant"),
+        ),
+        ({"messages": messages}, {"messages": F.array(F.struct(no.alias("role"), no.alias("content")))}, F.size("t") % 2 == 1),
+        ({"conversations": shared}, {"conversations": F.array(F.struct(no.alias("from"), no.alias("value")))}, F.lit(True)),
     )
-    return c.select("conv_id", raw.alias("raw"))
+    # Names of fields and punctuation take less than 64 bytes a turn.
+    add = lambda n, x: n + F.octet_length(x["role"]) + F.octet_length(x["text"]) + 64
+    large = F.aggregate("t", F.lit(0).cast("long"), add) > most
+    raw = record = None
+    for fields, bare, holds in reversed(cases):
+        struct = lambda of: F.struct(*(x.alias(name) for name, x in of.items()))
+        json = F.when(large, F.to_json(struct(bare))).otherwise(F.to_json(struct(fields)))
+        every = F.struct(
+            *(
+                (fields[name] if name in fields else F.lit(None).cast(_FIELDS[name])).cast(_FIELDS[name]).alias(name)
+                for name in _FIELDS
+            )
+        )
+        raw = json if raw is None else F.when(holds, json).otherwise(raw)
+        record = every if record is None else F.when(holds, every).otherwise(record)
+    return c.select("conv_id", raw.alias("raw"), F.when(large, record).alias("__record"))
+
+
+#: Fields of the layouts that conversation_records makes.
+_FIELDS = dict.fromkeys(("prompt", "completion", "instruction", "input", "output"), "string") | {
+    "messages": "array<struct<role:string,content:string>>",
+    "conversations": "array<struct<from:string,value:string>>",
+}

@@ -57,3 +57,23 @@ def test_digest_same_as_sql(spark):
     want = duckdb.sql(chat.digest_sql("turns")).fetchall()
     got = [tuple(r) for r in chat.digest(chat.format_records(chat.conversation_records(df))).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("most", [0, 400])
+def test_large_conversations_keep_their_turns(spark, most):
+    roles = [["user", "assistant"], ["system", "user", "assistant"], ["user", "user", "user"], ["user", "assistant", "user", "assistant"]]
+    rows = [(i, t, r, s) for i, s in enumerate(NASTY) for t, r in enumerate(roles[i % 4])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = df.toPandas()  # noqa: F841
+    want = duckdb.sql(chat.digest_sql("turns")).fetchall()
+    got = chat.digest(chat.format_records(chat.conversation_records(df, most)))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_text_beyond_the_parser(spark):
+    df = spark.range(2).selectExpr("id % 1 AS conv_id", "id AS turn", "'assistant' AS role", "if(id = 0, repeat('a', 20000001), 'b') AS text")
+    out = chat.digest(chat.format_records(chat.conversation_records(df))).first()
+    assert (out.n_turns, out.loss_chars) == (2, 20_000_002)
+    whole = df.filter("turn = 0").selectExpr("conv_id", """concat('{"prompt": "q", "completion": "', text, '"}') AS raw""")
+    with pytest.raises(Exception, match="too large"):
+        chat.format_records(whole).select(F.length("formatted")).collect()
