@@ -49,12 +49,14 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         {
             "free": SHARE * total - F.coalesce(F.sum("cap").over(before), F.lit(0)),
             "weights": F.sum("weight").over(rest),
+            "place": F.row_number().over(order),
         }
     )
-    # Of the first source that isn't capped, the free words and weights hold for all after it.
+    # Of the first source that isn't capped, the free words and weights hold for all after it. First is by place: sources
+    # of equal size per weight differ in what is free, as it leaves out the caps of those before.
     capped = F.col("cap") * F.col("weights") <= F.col("free") * F.col("weight")
     everyone = Window.partitionBy()
-    first = F.min(F.when(~capped, F.struct(F.col("cap") / F.col("weight"), "free", "weights"))).over(everyone)
+    first = F.min(F.when(~capped, F.struct("place", "free", "weights"))).over(everyone)
     s = s.withColumn("first", first)
     share = F.col("weight") * F.col("first.free") / F.col("first.weights")
     target = F.when(capped | F.col("first").isNull(), F.col("cap").cast("double")).otherwise(share)

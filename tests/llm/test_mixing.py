@@ -22,6 +22,17 @@ def test_targets_by_hand(spark):
     assert got == {"a": 20.0, "b": 100.0, "c": 180.0}
 
 
+@pytest.mark.parametrize("sizes", [(300, 100, 200), (100, 100, 100, 300, 100), (0, 50, 100, 150, 50, 100)])
+def test_targets_of_sources_that_tie(spark, sizes):
+    rows = [(f"s{i}", n) for i, n in enumerate(sizes)]
+    got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(rows, "source string, size long")).collect()}
+    if sizes == (300, 100, 200):
+        assert got == {"s0": 450.0, "s1": 150.0, "s2": 300.0}
+    assert sum(got.values()) == pytest.approx(1.5 * sum(sizes))
+    free = [got[f"s{i}"] / mixing.WEIGHTS[i % 3] for i, n in enumerate(sizes) if got[f"s{i}"] < mixing.MOST * n]
+    assert free and max(free) == pytest.approx(min(free))
+
+
 def test_totals_and_bounds(spark):
     out = mixing.mix(frame(spark, rows())).collect()
     assert len(out) == 3003 and all((r.of, r.seed) == (1, 2) for r in out)
