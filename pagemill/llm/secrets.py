@@ -36,8 +36,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LONG_HEX = re.compile(r"[0-9a-f]{16,}")  # maximal runs, as of [0-9a-f]+, of which the short ones fail
 NAMED = "|".join(map(_either_case, ("client_id", "account_id", "access_key_id", "user_?name", "login")))
 ID = re.compile(f"({NAMED}){VALUE}")
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,128}(?![A-Za-z0-9+/_-])")
+RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])")
 ENDPOINT = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20"'<>]+""")
+AUTHORITY = re.compile("://([^/?#]*)")
+BEHIND = re.compile("[?#]")
 LEAST_VALUE, LEAST_ACCESS, LEAST_RUN = 12, 18, 16
 
 
@@ -53,7 +55,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def weak_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(kind, start, end) of the candidates, none of which lies in a base span or an endpoint."""
+    """(kind, start, end) of the candidates, none of which lies in a base span but for names of accounts.
+
+    Of an endpoint, the user is a name, and the password and random-looking values behind ``?`` or ``#`` are secrets; a
+    user without password that looks random is a secret too. Its other parts are no candidates.
+    """
     out = []
     if ":" in text or "=" in text:
         out += [(3, *m.span(2)) for m in ID.finditer(text)]
@@ -62,14 +68,35 @@ def weak_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         taken[start:end] = True
     if "://" in text:
         for m in ENDPOINT.finditer(text):
-            out.append((5, *m.span()))
-            taken[m.start() : m.end()] = True
+            out += [(5, *m.span()), *(s for s in _in_endpoint(text, *m.span()) if s[0] == 3 or not taken[s[1] : s[2]].any())]
+        for kind, start, end in out:
+            if kind == 5:
+                taken[start:end] = True
     for m in RANDOM.finditer(text):
-        word = m[0]
-        mixed = any(c.isdigit() for c in word) and any(c.isupper() for c in word) and any(c.islower() for c in word)
-        if mixed and not taken[m.start() : m.end()].any():
+        if _mixed(m[0]) and not taken[m.start() : m.end()].any():
             out.append((4, *m.span()))
-    return sorted(out, key=lambda s: (s[1], s[0]))
+    return sorted(set(out), key=lambda s: (s[1], s[0], s[2]))
+
+
+def _mixed(word: str) -> bool:
+    return any(c.isdigit() for c in word) and any(c.isupper() for c in word) and any(c.islower() for c in word)
+
+
+def _in_endpoint(text: str, start: int, end: int) -> list[tuple[int, int, int]]:
+    """Names and secrets inside the endpoint at start to end."""
+    out = []
+    authority = AUTHORITY.search(text, start, end)
+    user, at, _ = authority[1].rpartition("@")
+    if at:
+        name, colon, password = user.partition(":")
+        begin = authority.start(1)
+        if name:
+            out.append((4 if not password and _mixed(name) and RANDOM.fullmatch(name) else 3, begin, begin + len(name)))
+        if password:
+            out.append((4, begin + len(name) + len(colon), begin + len(user)))
+    if behind := BEHIND.search(text, start, end):
+        out += [(4, *m.span()) for m in RANDOM.finditer(text, behind.start(), end) if _mixed(m[0])]
+    return out
 
 
 def _run_table(chars: str) -> np.ndarray:

@@ -49,6 +49,25 @@ def test_weak_needs_its_complement():
     assert linked_brute(far, S.SCOPE) == [] and linked_brute(KEY, S.SCOPE) == []
 
 
+def test_long_and_endpoint_secrets(spark):
+    long = KEY * 40
+    t = [
+        f"client_id: bob {long} end",
+        "see ftp://ann:hunter2@files.example.org/a?b=c now",
+        f"client_id: bob https://api.example.org/v1?key={KEY}&page=2#t={KEY}",
+        f"client_id: bob https://{KEY}@api.example.org/{KEY}",
+        "https://ann@files.example.org/a " + "z" * 900,
+    ]
+    for r in S.find_secrets(frame(spark, t)).collect():
+        assert [(S.KINDS[s.kind], s.start, s.end) for s in r.spans] == linked_brute(t[r.doc_id], S.SCOPE)
+    out = {r.doc_id: r.text for r in S.redact(frame(spark, t)).collect()}
+    assert out[0] == "client_id: [redacted] [redacted] end"
+    assert out[1] == "see ftp://[redacted]:[redacted]@files.example.org/a?b=c now"
+    assert out[2] == "client_id: [redacted] https://api.example.org/v1?key=[redacted]&page=2#t=[redacted]"
+    assert out[3] == f"client_id: [redacted] https://[redacted]@api.example.org/{KEY}"
+    assert out[4] == t[4]
+
+
 def test_redact(spark):
     t = texts() + ["é client_id: bob " + KEY + " end"]
     docs = frame(spark, t)
