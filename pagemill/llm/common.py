@@ -1,6 +1,7 @@
 """Small helpers shared by the operators of this subpackage."""
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that the session names; set here only where it names none, as in tests."""
+    """The checkpoint folder that the session names. On one machine, as in tests, one is set where none is named; on a
+    cluster that is an error, as a folder of one machine would be missing on the others."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
+        if not named and sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return named or sc.getCheckpointDir()
 
@@ -30,6 +34,19 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder, and its path: smaller than a checkpoint, and kept until deleted."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies in."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def row_key(*columns: Column) -> Column:
     """64-bit key of a row. Rows that agree in these columns share it, and every operator here gives such rows
     the same result, so nothing depends on doc_id being unique or present."""

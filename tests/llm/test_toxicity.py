@@ -1,4 +1,7 @@
 import random
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -67,7 +70,7 @@ def test_no_labels_and_no_rows(spark, tables):
     assert T.toxicity_scores(docs.limit(0), labels).collect() == []
 
 
-@pytest.mark.parametrize("bounds", [{"max_words": 3, "max_pairs": 5}, {"max_words": 40, "max_pairs": 0}, {"max_labelled": 10}])
+@pytest.mark.parametrize("bounds", [{"max_rows": 3}, {"max_rows": 60}, {"max_labelled": 10}])
 def test_bounds_of_the_broadcast_do_not_change_scores(spark, tables, bounds):
     def scores(**bounds):
         return sorted((r.doc_id or -1, r.score) for r in T.toxicity_scores(*tables, **bounds).collect())
@@ -77,10 +80,80 @@ def test_bounds_of_the_broadcast_do_not_change_scores(spark, tables, bounds):
     assert np.allclose([x for _, x in whole], [x for _, x in bounded], atol=1e-6)
 
 
-def test_discounts_and_words():
-    assert (T.discounts(0, 0, 0, 0) == [0, 0.75, 0.75, 0.75]).all()
-    d = T.discounts(100, 40, 20, 12)
-    assert 0 < d[1] < 1 and d[1] < d[2] < 2 and d[3] < 3
+def plain_models(texts):
+    """P_c(w | v) of both classes as a plain function, and the vocabulary, from (text, toxic) of distinct texts."""
+    split = [(["<s>", *re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower()), "</s>"], y) for t, y in texts]
+    n = [Counter(w for t, y in split if y == c for w in set(t[1:])) for c in (1, 0)]
+    pair = Counter(p for t, _ in split for p in set(zip(t, t[1:], strict=False)))
+    both = n[0] + n[1]
+    vocabulary = {w for w in both if both[w] >= T.LEAST}
+    total = [sum(m[w] for w in vocabulary) for m in n]
+    low = [sum(min(m[w], d) for w in vocabulary) for m, d in zip(n, (T.DISCOUNT_TOXIC, T.DISCOUNT_ORDINARY), strict=True)]
+    rare = sum(c for w, c in both.items() if w not in vocabulary)
+    p = (rare + 1) / (rare + sum(total) + 1)
+    values = np.array([both[w] for w in vocabulary])
+    cap = T.cap_for(values, np.ones(len(values)), low[0] / total[0])
+    shared = {w: min(both[w], cap) / np.minimum(values, cap).sum() for w in vocabulary}
+    of_v, back = Counter(), Counter()
+    for (v, _), c in pair.items():
+        of_v[v] += c
+        back[v] += min(c, T.PAIRS)
+
+    def prob(c, w, v):
+        if w in vocabulary:
+            own = max(n[c][w] - (T.DISCOUNT_TOXIC, T.DISCOUNT_ORDINARY)[c], 0) / total[c]
+            alone = (1 - p) * (own + low[c] / total[c] * shared[w])
+        else:
+            alone = p
+        if not of_v[v]:
+            return alone
+        return max(pair[v, w] - T.PAIRS, 0) / of_v[v] + back[v] / of_v[v] * alone
+
+    return prob, vocabulary, split
+
+
+@pytest.fixture(scope="module")
+def counted():
+    docs, labels = rows(400)
+    toxic = {i: y for i, y, _ in labels if y is not None}
+    text = {t: toxic[i] for i, t, *_ in docs if i in toxic}
+    return [(None, 0), *text.items(), ("vile vile vile", 1), ("the the the the", 0)]
+
+
+def test_models_sum_to_one(counted):
+    prob, vocabulary, _ = plain_models(counted)
+    for c in (0, 1):
+        for v in ("the", "vile", "<s>", "never seen"):
+            assert abs(sum(prob(c, w, v) for w in vocabulary) + prob(c, "unknown", v) - 1) < 1e-9
+
+
+def test_likelihoods_against_plain_models(spark, counted):
+    prob, _, split = plain_models(counted)
+    model = T.count_model(spark.createDataFrame(counted, "text string, toxic int"))
+    new = "scum the zzz vile vile trash unheard"
+    raw = [(t or "").encode() for t, _ in counted] + [new.encode()]
+    at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    none = np.zeros(0, np.int64), np.zeros((0, 2))
+    n, got = model.likelihoods(np.frombuffer(b"".join(raw), np.uint8), at, *none)
+    texts = [t for t, _ in split] + [["<s>", *new.split(), "</s>"]]
+    want = [[np.mean([np.log(prob(c, w, v)) for v, w in zip(t, t[1:], strict=False)]) for c in (0, 1)] for t in texts]
+    assert n.tolist() == [len(t) - 1 for t in texts]
+    assert np.allclose(got, want, atol=1e-9)
+    assert got[-1, 0] > got[-1, 1]
+
+
+def test_equal_texts_count_once(spark, tables):
+    docs, labels = tables
+    counted = [i for i in range(900) if zlib.crc32(str(i).encode()) % 4 < 2]
+    ids = [next(i for i in counted if i % 6 == 0), next(i for i in counted if i % 6 == 1)]
+    copies = docs.filter(F.col("doc_id").isin(ids)).crossJoin(spark.range(1, 40).withColumnRenamed("id", "k"))
+    copies = copies.select((F.col("doc_id") + 10_000 * F.col("k")).alias("doc_id"), "text", "score", "held_out")
+    toxic = (F.col("doc_id") % 10_000 == ids[0]).cast("int").alias("toxic")
+    one, many = T.fit(docs, labels), T.fit(docs.unionByName(copies), labels.unionByName(copies.select("doc_id", toxic, F.lit(0).alias("quality"))))
+    assert (one.keys == many.keys).all() and np.allclose(one.adds, many.adds)
+
+
+def test_words():
     raw = [b"The the", b"", b"x THE", "é".encode()]
     at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     h, n = T.word_hashes(np.frombuffer(b"".join(raw), np.uint8), at)
