@@ -1,8 +1,9 @@
 """Exact nearest neighbours by largest inner product, with int8 product tiles.
 
 Queries and candidates are dealt over a grid: each cell multiplies a block of queries with a block of candidates, both
-quantised to int8 with one scale per vector, so that a cell's memory is bounded whatever the table's size. With
-x = s q + e, the product of two vectors differs from that of their quantised forms by at most
+quantised to int8 with one scale per vector, so that a cell's memory is bounded whatever the table's size. Rows are dealt
+by a number that is stored with them and not by what they hold, so that a vector that very many rows share fills no cell.
+With x = s q + e, the product of two vectors differs from that of their quantised forms by at most
 |x| |e_y| + |e_x| |s_y q_y|. Candidates whose upper bound reaches the k-th best lower bound survive in the cell, and
 only those are recomputed from the original floats in double precision. Cells' lists are merged by heaps.
 
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from pagemill.llm.common import durable
 
 #: Vectors of a cell's two blocks.
-QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 16384
+QUERY_BLOCK, CANDIDATE_BLOCK = 8192, 16384
 #: Rows of a tile within a cell.
 TILE = 256
+#: Dimensions whose products of codes add up exactly in float32.
+EXACT = 1024
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -32,10 +35,22 @@ def valid_vector(v: Column) -> Column:
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """int8 codes as float32, scales, norms of the vectors and of their errors."""
-    scale = np.abs(x).max(1) / 127
+    """int8 codes, scales, norms of the vectors and of their errors. Norms are of the vectors over their largest component
+    and then scaled back, so that neither tiny nor huge components leave the range of doubles on the way."""
+    most = np.abs(x).max(1)
+    scale = np.maximum(most / 127, np.finfo(np.float64).tiny)
     codes = np.rint(x / scale[:, None])
-    return codes.astype(np.float32), scale, np.sqrt((x * x).sum(1)), np.sqrt(((x - codes * scale[:, None]) ** 2).sum(1))
+    unit = x / most[:, None]
+    off = unit - codes * (scale / most)[:, None]
+    return codes.astype(np.int8), scale, most * np.sqrt((unit * unit).sum(1)), most * np.sqrt((off * off).sum(1))
+
+
+def code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows of codes. Each run of EXACT dimensions gives whole numbers below 2**24, exact in float32."""
+    out = 0.0
+    for i in range(0, a.shape[1], EXACT):
+        out = out + (a[:, i : i + EXACT] @ b[:, i : i + EXACT].T).astype(np.float64)
+    return out
 
 
 def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -50,14 +65,14 @@ def search(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: in
     """(query, candidate, score): the k best of each query among the candidates, its own id left out, ties by id."""
     codes_q, scale_q, norm_q, err_q = quantise(q)
     codes_c, scale_c, norm_c, err_c = quantise(c)
+    codes_q, codes_c = codes_q.astype(np.float32), codes_c.astype(np.float32)  # for the matrix product
     rough_norm = norm_c + err_c  # at least the norm of the quantised vector
     out = []
     for t in range(0, len(q), TILE):
         rows = slice(t, t + TILE)
-        tile = codes_q[rows] @ codes_c.T  # whole numbers below 2**24 for up to 1,040 dimensions: exact in float32
-        tile = tile.astype(np.float64) * scale_q[rows, None] * scale_c
+        tile = code_products(codes_q[rows], codes_c) * scale_q[rows, None] * scale_c
         slack = norm_q[rows, None] * err_c + err_q[rows, None] * rough_norm
-        slack = slack * (1 + 1e-6) + np.abs(tile) * 1e-6 + 1e-12
+        slack = slack * (1 + 1e-6) + np.abs(tile) * 1e-6 + np.finfo(np.float64).tiny
         own = qid[rows, None] == cid
         low = np.where(own, -np.inf, tile - slack)
         kth = np.full(len(low), -np.inf) if len(cid) <= k else np.partition(low, -k, 1)[:, -k]
@@ -111,22 +126,25 @@ def _merge(k: int):
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the k candidates with the largest inner product for each query.
 
-    vectors and queries: (vec_id, embedding), embeddings of one dimension. A query's own id is no candidate. Vectors
-    that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id; rows that
-    repeat an id are one vector, the greatest. Fewer candidates than k give as many rows. Other columns are not read.
+    vectors and queries: (vec_id, embedding), embeddings of one dimension. Rows with a query's id are its own and no
+    candidates; all others are, also where several share an id. Of queries that share an id, the one of the greatest
+    vector asks. Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null
+    id. Fewer candidates than k give as many rows. Other columns are not read.
     """
 
     def clean(df: DataFrame) -> DataFrame:
         v = df.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
-        return v.filter(F.col("id").isNotNull() & valid_vector(F.col("vector"))).groupBy("id").agg(F.max("vector").alias("vector"))
+        return v.filter(F.col("id").isNotNull() & valid_vector(F.col("vector")))
 
-    candidates, asked = durable(clean(vectors)), durable(clean(queries))
+    numbered = lambda df: durable(df.withColumn("number", F.monotonically_increasing_id()))
+    candidates = numbered(clean(vectors))
+    asked = numbered(clean(queries).groupBy("id").agg(F.max("vector").alias("vector")))
     down = max(1, -(-asked.count() // QUERY_BLOCK))
     across = max(1, -(-candidates.count() // CANDIDATE_BLOCK))
 
     def dealt(df: DataFrame, asks: bool) -> DataFrame:
         """Rows sent to the cells of their block's line of the grid."""
-        own = F.pmod(F.xxhash64("id"), F.lit(down if asks else across))
+        own = F.pmod(F.xxhash64("number"), F.lit(down if asks else across))
         line = F.explode(F.sequence(F.lit(0), F.lit((across if asks else down) - 1)))
         cells = df.withColumn("own", own).withColumn("line", line)
         cell = (F.col("own") * across + F.col("line")) if asks else (F.col("line") * across + F.col("own"))
@@ -142,7 +160,7 @@ def nearest_sql(k: int, every: int) -> str:
     return f"""
     WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-    p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
-          WHERE q.vec_id % {every} = 0),
+    q AS (SELECT vec_id, max(e) AS e FROM v WHERE vec_id % {every} = 0 GROUP BY vec_id),
+    p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM q JOIN v c ON q.vec_id <> c.vec_id),
     r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM p)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {k}"""
