@@ -11,7 +11,7 @@ from pagemill.llm.common import table
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    return scored.select("doc_id", "held_out", "score", "predicted", "toxic_ll", "ordinary_ll")
 
 
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +74,7 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    original = warc.durable(warc.manifest(pages))
-    return warc.audit(original, warc.damaged(original, pages))
+    return warc.audit(warc.manifest(pages), warc.damaged(pages))
 
 
 #: The conversation added to the table: both texts are control strings of a common template.
