@@ -31,5 +31,36 @@ def url_origin(url: Column) -> Column:
 
 
 def resolve_href(base: Column, href: Column) -> Column:
-    """Absolute form of absolute and root-relative links; null for the other forms (``../x``, ``x``, ``//host/x``)."""
-    return F.when(href.rlike(r"^https?://"), href).when(href.rlike(r"^/(?!/)"), F.concat(url_origin(base), href))
+    """Absolute form of a link: absolute, ``//host/x``, ``/x``, ``x``, ``../x``, ``?q`` or ``#f`` against its page's address.
+
+    Dot segments are resolved; what climbs above the root stays at it. Null for links of other schemes, such as
+    ``mailto:``, and where a relative link's page has no http(s) address. White space around the link doesn't count.
+    """
+    href = F.regexp_replace(href, r"^\s+|\s+$", "")
+    origin, bare = url_origin(base), F.regexp_replace(base, r"[?#].*$", "")
+    path, tail = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"([?#].*)$", 1)
+    below = F.regexp_replace(F.substring(bare, F.length(origin) + 1, F.length(bare)), r"[^/]*$", "")
+    below = F.when(below == "", "/").otherwise(below)
+    own = F.when(href.startswith("#"), F.regexp_replace(base, "#.*$", "")).otherwise(bare)
+    return (
+        F.when(href.rlike(r"(?i)^https?://"), href)
+        .when(href.rlike(r"^//[^/]"), F.concat(F.regexp_extract(origin, r"^(https?:)", 1), href))
+        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | href.startswith("//"), F.lit(None))
+        .when(path == "", F.when(origin.isNotNull(), F.concat(own, tail)))
+        .when(href.startswith("/"), F.concat(origin, _without_dots(path), tail))
+        .otherwise(F.concat(origin, _without_dots(F.concat(below, path)), tail))
+    )
+
+
+def _without_dots(path: Column) -> Column:
+    """An absolute path with its dot segments resolved."""
+    segments = F.split(F.substring(path, 2, 1 << 30), "/", -1)
+    last = F.element_at(segments, -1)
+    segments = F.when(last.isin(".", ".."), F.concat(segments, F.array(F.lit("")))).otherwise(segments)
+
+    def add(done: Column, s: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(s == "..", up).when(s == ".", done).otherwise(F.concat(done, F.array(s)))
+
+    folded = F.aggregate(segments, F.array().cast("array<string>"), add)
+    return F.when(path.contains("/."), F.concat(F.lit("/"), F.array_join(folded, "/"))).otherwise(path)

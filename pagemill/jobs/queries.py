@@ -10,7 +10,7 @@ from pagemill.operators import links as L
 from pagemill.operators import pages as P
 from pagemill.operators import threads as T
 from pagemill.sources.tables import read_activity, read_messages, read_pages, scratch_folder, write_records
-from pagemill.streaming.activity import activity_counts, read_stream, store_counts
+from pagemill.streaming.activity import activity_counts, read_counts, read_stream, store_counts
 
 #: (prio, pat, kind), first match wins.
 RULES = ((1, r"[?&]page=", "listing"), (2, r"\.html", "article"), (3, r"^https?://m\.", "mobile"), (9, r".", "other"))
@@ -45,13 +45,11 @@ def _kinds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Two snapshots made of one: pages go, come and change by their number."""
+    """Two snapshots made of one: pages move and change by their number."""
     pages = _pages(spark, d)
-    old = pages.filter("page_id % 10 <> 3")
-    new = pages.filter("page_id % 10 <> 7").withColumn(
-        "html", F.expr("case when page_id % 5 = 0 then concat(html, '<!-- edited -->') else html end")
-    )
-    return old, new
+    old = pages.withColumn("url", F.expr("case when page_id % 10 = 3 then concat(url, '/earlier') else url end"))
+    new = pages.withColumn("url", F.expr("case when page_id % 10 = 7 then concat(url, '/later') else url end"))
+    return old, new.withColumn("html", F.expr("case when page_id % 5 = 0 then concat(html, '<!-- edited -->') else html end"))
 
 
 def _written(spark: SparkSession, d: str) -> DataFrame:
@@ -63,11 +61,12 @@ def _written(spark: SparkSession, d: str) -> DataFrame:
 def _streamed(spark: SparkSession, d: str) -> DataFrame:
     folder = scratch_folder(spark)
     store_counts(activity_counts(read_stream(spark, d, "events.parquet"), "1 day"), folder)
-    return spark.read.parquet(f"{folder}/counts")
+    return read_counts(spark, folder)
 
 
-def _thinned(spark: SparkSession, d: str) -> DataFrame:
-    return _messages(spark, d).filter("(thread_id + seq) % 5 <> 2")
+def _spread(spark: SparkSession, d: str) -> DataFrame:
+    """All messages, with numbers that leave one out after every two."""
+    return _messages(spark, d).withColumn("seq", F.expr("seq + seq div 2"))
 
 
 QUERIES = {
@@ -85,19 +84,18 @@ QUERIES = {
     "gx_extract_links": lambda s, d: L.extract_links(_pages(s, d)),
     "gx_extract_blocks": lambda s, d: P.extract_blocks(_pages(s, d)),
     "gx_extract_fields": lambda s, d: P.extract_fields(
-        _pages(s, d), _kinds(s, d), s.createDataFrame(list(FIELDS), "kind string, field string, prio int, pattern string")
+        P.with_kind(_pages(s, d), _rules(s)), s.createDataFrame(list(FIELDS), "kind string, field string, prio int, pattern string")
     ),
     "jn_classify_pages": _kinds,
     "jn_frontier": lambda s, d: L.frontier(L.extract_links(_pages(s, d)), _pages(s, d)),
     "jn_internal_links": lambda s, d: L.internal_links(
-        L.extract_links(_pages(s, d)).unionByName(
-            _pages(s, d).filter("page_id % 3 = 0").selectExpr("page_id", "0 as pos", "url as href", "url as target")
-        ),
+        L.extract_links(_pages(s, d)).unionByName(_pages(s, d).selectExpr("page_id", "0 as pos", "url as href", "url as target")),
         _pages(s, d),
     ),
     "jn_diff_snapshots": lambda s, d: P.diff_snapshots(*_snapshots(s, d)),
-    "jn_missing_messages": lambda s, d: T.missing_messages(_thinned(s, d)),
-    "jn_message_gaps": lambda s, d: T.message_gaps(_thinned(s, d)),
+    "jn_missing_messages": lambda s, d: T.missing_messages(_spread(s, d)),
+    "jn_message_gaps": lambda s, d: T.message_gaps(_spread(s, d)),
+    "jn_oversized_threads": lambda s, d: T.oversized_threads(_spread(s, d), 6),
     "ag_thread_rollup": lambda s, d: T.thread_rollup(_messages(s, d)),
     "ag_author_rollup": lambda s, d: T.author_rollup(_messages(s, d)),
     "ag_page_cube": lambda s, d: P.page_cube(_pages(s, d)),
@@ -112,7 +110,7 @@ QUERIES = {
     "st_activity_sliding": lambda s, d: activity_counts(read_activity(s, f"{d}/events.parquet"), "1 day", "12 hours"),
     "w1_current_page_records": lambda s, d: workflows.current_page_records(_pages(s, d), _rules(s)),
     "w2_crawl_frontier": lambda s, d: workflows.crawl_frontier(_pages(s, d), 100),
-    "w3_thread_report": lambda s, d: workflows.thread_report(_thinned(s, d)),
+    "w3_thread_report": lambda s, d: workflows.thread_report(_messages(s, d)),
 }
 
 
@@ -121,6 +119,10 @@ QUERIES = {
 _CLEAN = f"regexp_replace(html, '{H.SCRIPT_STYLE_COMMENT}', '', 'g')"
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def _canon(url: str) -> str:
     return (
         f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({url}, '[?#].*$', ''), "
@@ -135,22 +137,27 @@ _TEXT = f"trim(regexp_replace(regexp_replace({_CLEAN}, '(?s)<[^>]*>', ' ', 'g'),
 _DECODED = _TEXT
 for _entity, _char in H.ENTITIES:
     _DECODED = f"replace({_DECODED}, '{_entity}', '{_char}')"
+#: The same with the semicolon left out where a page is cut off, as browsers read it; pages have no other entities.
+_ALL_DECODED = _TEXT
+for _entity, _char in H.ENTITIES:
+    _ALL_DECODED = f"regexp_replace({_ALL_DECODED}, '{_entity}?', '{_char}', 'g')"
 _LINKS = f"""
-  SELECT page_id, i AS pos, hrefs[i + 1] AS href,
-    CASE WHEN regexp_matches(hrefs[i + 1], '^https?://') THEN hrefs[i + 1]
-         WHEN regexp_matches(hrefs[i + 1], '^/([^/]|$)')
-         THEN nullif(regexp_extract(url, '^(https?://[^/?#]+)', 1), '') || hrefs[i + 1] END AS target
-  FROM (SELECT page_id, url, hrefs, unnest(range(len(hrefs)))::INT AS i
-        FROM (SELECT page_id, url, regexp_extract_all({_CLEAN}, '{H.LINK}', 1) AS hrefs FROM pages))"""
+  SELECT page_id, pos, href,
+    CASE WHEN regexp_matches(href, '(?i)^https?://') THEN href
+         WHEN regexp_matches(href, '^/([^/]|$)') THEN nullif(regexp_extract(url, '^(https?://[^/?#]+)', 1), '') || href END AS target
+  FROM (SELECT page_id, url, i AS pos, regexp_replace(hrefs[i + 1], {_quoted(H.QUOTES)}, '', 'g') AS href
+        FROM (SELECT page_id, url, hrefs, unnest(range(len(hrefs)))::INT AS i
+              FROM (SELECT page_id, url, regexp_extract_all({_CLEAN}, {_quoted(H.LINK)}, 1) AS hrefs FROM pages)))"""
 _RULE_ROWS = ", ".join(f"({p}, '{pat}', '{kind}')" for p, pat, kind in RULES)
 _KINDS = f"""
-  SELECT page_id, arg_min(kind, prio) AS kind FROM pages, (VALUES {_RULE_ROWS}) r(prio, pat, kind)
-  WHERE regexp_matches(url, pat) GROUP BY page_id"""
+  SELECT page_id, arg_min(kind, prio) AS kind FROM pages LEFT JOIN (VALUES {_RULE_ROWS}) r(prio, pat, kind)
+  ON regexp_matches(url, pat) GROUP BY page_id"""
 _MESSAGES = "SELECT conv_id AS thread_id, turn AS seq, role AS author, text FROM conversations"
-_THIN = f"SELECT * FROM ({_MESSAGES}) WHERE (thread_id + seq) % 5 <> 2"
-_GAPS = f"""
+_SPREAD = f"SELECT thread_id, seq + seq // 2 AS seq, author, text FROM ({_MESSAGES})"
+def _gaps(rows: str) -> str:
+    return f"""
   SELECT thread_id, prev + 1 AS gap_from, seq - 1 AS gap_to
-  FROM (SELECT thread_id, seq, coalesce(lag(seq) OVER (PARTITION BY thread_id ORDER BY seq), -1) AS prev FROM ({_THIN}))
+  FROM (SELECT thread_id, seq, coalesce(lag(seq) OVER (PARTITION BY thread_id ORDER BY seq), -1) AS prev FROM ({rows}))
   WHERE seq > prev + 1"""
 
 
@@ -194,30 +201,31 @@ ORACLE_SQL = {
     "px_page_title": f"SELECT page_id, {_TITLE} AS title FROM pages",
     "px_page_text": f"SELECT page_id, {_TEXT} AS text FROM pages",
     "px_decode_entities": f"SELECT page_id, {_DECODED} AS text FROM pages",
-    "px_decode_all_entities": f"SELECT page_id, {_DECODED} AS text FROM pages",
+    "px_decode_all_entities": f"SELECT page_id, {_ALL_DECODED} AS text FROM pages",
     "px_content_hash": "SELECT page_id, sha256(html) AS hash FROM pages",
     "px_truncated_pages": r"SELECT page_id, url FROM pages WHERE NOT regexp_matches(html, '</html>\s*$')",
     "gx_extract_links": _LINKS,
     "gx_extract_blocks": f"""SELECT page_id, i AS pos, blocks[i + 1] AS block
       FROM (SELECT page_id, blocks, unnest(range(len(blocks)))::INT AS i
-            FROM (SELECT page_id, regexp_extract_all({_CLEAN}, '{H.BLOCK}', 1) AS blocks FROM pages))""",
+            FROM (SELECT page_id, regexp_extract_all({_CLEAN}, {_quoted(H.BLOCK)}, 1) AS blocks FROM pages))""",
     "gx_extract_fields": _fields_sql(),
     "jn_classify_pages": _KINDS,
     "jn_frontier": f"""SELECT DISTINCT {_canon('target')} AS target FROM ({_LINKS}) WHERE target IS NOT NULL
       AND {_canon('target')} NOT IN (SELECT {_canon('url')} FROM pages)""",
     "jn_internal_links": f"""SELECT DISTINCT {_canon('target')} AS target
-      FROM (SELECT target FROM ({_LINKS}) UNION ALL SELECT url FROM pages WHERE page_id % 3 = 0)
+      FROM (SELECT target FROM ({_LINKS}) UNION ALL SELECT url FROM pages)
       WHERE {_canon('target')} IN (SELECT {_canon('url')} FROM pages)""",
     "jn_diff_snapshots": f"""
-      WITH o AS (SELECT {_canon('url')} AS canon, max(page_id) AS old_id, arg_max(sha256(html), page_id) AS h
-                 FROM pages WHERE page_id % 10 <> 3 GROUP BY 1),
-           n AS (SELECT {_canon('url')} AS canon, max(page_id) AS new_id,
+      WITH o AS (SELECT {_canon("CASE WHEN page_id % 10 = 3 THEN url || '/earlier' ELSE url END")} AS canon, max(page_id) AS old_id,
+                 arg_max(sha256(html), page_id) AS h FROM pages GROUP BY 1),
+           n AS (SELECT {_canon("CASE WHEN page_id % 10 = 7 THEN url || '/later' ELSE url END")} AS canon, max(page_id) AS new_id,
                  arg_max(sha256(CASE WHEN page_id % 5 = 0 THEN html || '<!-- edited -->' ELSE html END), page_id) AS h
-                 FROM pages WHERE page_id % 10 <> 7 GROUP BY 1)
+                 FROM pages GROUP BY 1)
       SELECT canon, old_id, new_id, CASE WHEN old_id IS NULL THEN 'new' WHEN new_id IS NULL THEN 'gone'
              WHEN o.h = n.h THEN 'same' ELSE 'changed' END AS state FROM o FULL JOIN n USING (canon)""",
-    "jn_missing_messages": f"SELECT thread_id, unnest(generate_series(gap_from, gap_to)) AS seq FROM ({_GAPS})",
-    "jn_message_gaps": _GAPS,
+    "jn_missing_messages": f"SELECT thread_id, unnest(generate_series(gap_from, gap_to)) AS seq FROM ({_gaps(_SPREAD)})",
+    "jn_message_gaps": _gaps(_SPREAD),
+    "jn_oversized_threads": f"SELECT thread_id, max(seq) AS max_seq FROM ({_SPREAD}) GROUP BY thread_id HAVING max(seq) > 6",
     "ag_thread_rollup": _rollup_sql(_MESSAGES),
     "ag_author_rollup": f"""SELECT author, count(*) AS n_messages, coalesce(sum(length(text)), 0)::BIGINT AS n_chars,
       count(DISTINCT thread_id) AS n_threads FROM ({_MESSAGES}) GROUP BY author""",
@@ -241,11 +249,11 @@ ORACLE_SQL = {
       FROM (SELECT {_canon('target')} AS canon, page_id FROM ({_LINKS}) WHERE target IS NOT NULL)
       WHERE canon NOT IN (SELECT {_canon('url')} FROM pages) GROUP BY canon ORDER BY n_links DESC, canon LIMIT 100""",
     "w3_thread_report": f"""
-      WITH r AS ({_rollup_sql(_THIN)}),
+      WITH r AS ({_rollup_sql(_MESSAGES)}),
       s AS (SELECT thread_id, count(*) FILTER (WHERE author <> prev) AS n_switches FROM (
-              SELECT thread_id, author, lag(author) OVER (PARTITION BY thread_id ORDER BY seq) AS prev FROM ({_THIN}))
+              SELECT thread_id, author, lag(author) OVER (PARTITION BY thread_id ORDER BY seq) AS prev FROM ({_MESSAGES}))
             GROUP BY thread_id),
-      g AS (SELECT thread_id, sum(gap_to - gap_from + 1)::BIGINT AS n_missing FROM ({_GAPS}) GROUP BY thread_id)
+      g AS (SELECT thread_id, sum(gap_to - gap_from + 1)::BIGINT AS n_missing FROM ({_gaps(_MESSAGES)}) GROUP BY thread_id)
       SELECT thread_id, n_messages, n_chars, n_authors, last_author, n_switches, coalesce(n_missing, 0) AS n_missing
       FROM r LEFT JOIN s USING (thread_id) LEFT JOIN g USING (thread_id)""",
 }

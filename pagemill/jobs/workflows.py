@@ -9,10 +9,9 @@ from pagemill.operators import pages as P
 
 
 def current_page_records(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """W1: latest snapshot of each address, extracted and labelled."""
+    """W1: latest snapshot of each address, extracted and labelled in one pass over the fetched bodies."""
     latest = P.latest_pages(pages).select("page_id", "url", "html")
-    kinds = P.classify_pages(latest, rules)
-    return P.page_records(latest).join(kinds, "page_id", "left")
+    return P.page_records(P.with_kind(latest, rules), "kind")
 
 
 def crawl_frontier(pages: DataFrame, k: int) -> DataFrame:

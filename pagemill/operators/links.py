@@ -8,9 +8,10 @@ from pagemill.functions.urls import canonical_url, resolve_href
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
-    """One row per outgoing link with its position and resolved target; only double-quoted href is read."""
+    """One row per outgoing link with its position and resolved target. Entities in it stay as they are."""
     found = F.regexp_extract_all(H.clean_html(F.col("html")), F.lit(H.LINK), F.lit(1))
-    rows = pages.select("page_id", "url", F.posexplode(found).alias("pos", "href"))
+    rows = pages.select("page_id", "url", F.posexplode(found).alias("pos", "quoted"))
+    rows = rows.select("page_id", "url", "pos", F.regexp_replace("quoted", H.QUOTES, "").alias("href"))
     return rows.select("page_id", "pos", "href", resolve_href(F.col("url"), F.col("href")).alias("target"))
 
 

@@ -1,14 +1,15 @@
 """Per-page operators: extraction, labels, rollups and the latest snapshot of each address."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions import html as H
 from pagemill.functions.urls import canonical_url, url_host
 
 
-def page_records(pages: DataFrame) -> DataFrame:
-    """One record for each page: canonical address, host, title, decoded text and fingerprint. Narrow: no shuffle."""
+def page_records(pages: DataFrame, *keep: str) -> DataFrame:
+    """One record for each page: canonical address, host, title, decoded text and fingerprint, and the columns in keep.
+    Narrow: no shuffle."""
     return pages.select(
         "page_id",
         canonical_url(F.col("url")).alias("canon"),
@@ -16,6 +17,7 @@ def page_records(pages: DataFrame) -> DataFrame:
         H.page_title(F.col("html")).alias("title"),
         H.decode_entities(H.page_text(F.col("html"))).alias("text"),
         H.content_hash(F.col("html")).alias("hash"),
+        *keep,
     )
 
 
@@ -31,38 +33,74 @@ def extract_blocks(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.posexplode(found).alias("pos", "block"))
 
 
-def extract_fields(pages: DataFrame, kind: DataFrame, rules: DataFrame) -> DataFrame:
+#: Rows that a rule table may have: it is a caller's list, whose patterns become part of the plan.
+MOST_RULES = 1000
+
+
+def _rule_list(rules: DataFrame, *columns: str) -> list:
+    """The rows of a rule table, in order of prio and then of the other columns."""
+    found = rules.select(*columns).limit(MOST_RULES + 1).collect()
+    if len(found) > MOST_RULES:
+        raise ValueError(f"a rule table has {MOST_RULES} rows at most")
+    return sorted(found, key=lambda r: (r["prio"], *map(str, r)))
+
+
+def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Named fields by a rule table ``(kind, field, prio, pattern)``, so that page layouts stay data.
 
-    kind: ``(page_id, kind)``. For each page and field, the first group of the first rule in order of prio
-    that matches with a non-empty group wins; null if none does.
+    pages: ``(page_id, html, kind)``, as with_kind gives them. For each page and field of its kind, the first group of the
+    first rule in order of prio that matches with a non-empty group wins; null if none does. The rules of a page's kind are
+    evaluated on the page's row: nothing is shuffled, and html is not repeated.
+    """
+    by_kind: dict[str, dict[str, list[Column]]] = {}
+    for r in _rule_list(rules, "kind", "field", "prio", "pattern"):
+        value = F.nullif(F.regexp_extract("html", r["pattern"], 1), F.lit(""))
+        by_kind.setdefault(r["kind"], {}).setdefault(r["field"], []).append(value)
+    found = F.lit(None).cast("array<struct<field:string,value:string>>")
+    for kind, fields in by_kind.items():
+        values = F.array(*(F.struct(F.lit(f).alias("field"), F.coalesce(*v).alias("value")) for f, v in fields.items()))
+        found = F.when(F.col("kind") == kind, values).otherwise(found)
+    return pages.select("page_id", F.inline(found))
+
+
+def with_kind(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """pages with the kind that rules ``(prio, pat, kind)`` give: of the patterns that match a URL, the lowest prio wins.
+
+    Pages that no pattern matches, and those without a URL, have a null kind. The patterns are part of the plan, so
+    pages stay where they are.
     """
-    typed = pages.select("page_id", "html").join(kind.select("page_id", "kind"), "page_id")
-    ruled = typed.join(rules.select("kind", "field", "prio", "pattern"), "kind")
-    value = F.nullif(F.expr("regexp_extract(html, pattern, 1)"), F.lit(""))
-    hits = ruled.select("page_id", "field", "prio", value.alias("value"))
-    best = F.min_by("value", F.when(F.col("value").isNotNull(), F.col("prio")))
-    return hits.groupBy("page_id", "field").agg(best.alias("value"))
+    kind = F.lit(None).cast("string")
+    for r in reversed(_rule_list(rules, "prio", "pat", "kind")):
+        kind = F.when(F.col("url").rlike(r["pat"]), F.lit(r["kind"])).otherwise(kind)
+    return pages.withColumn("kind", kind)
 
 
 def classify_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Label pages by rules ``(prio, pat, kind)``; of the patterns that match a URL, the lowest prio wins.
-
-    The rule table is a caller's list of tens of patterns; Spark broadcasts the loop's smaller side.
-    """
-    hits = pages.select("page_id", "url").join(rules, F.expr("url rlike pat"))
-    return hits.groupBy("page_id").agg(F.min_by("kind", "prio").alias("kind"))
+    """(page_id, kind) of each page, by with_kind."""
+    return with_kind(pages, rules).select("page_id", "kind")
 
 
 def latest_pages(pages: DataFrame, order: str = "page_id") -> DataFrame:
-    """The latest snapshot for each canonical address.
+    """The latest snapshot for each canonical address: the one of the greatest order, then page_id, then digest.
 
-    The winner is found by an aggregate over the keys alone, whose partial step collapses a hot address
-    before the shuffle; the bodies are then fetched by a join on page_id and never sorted.
+    Pages without an address are each one for themselves. Rows that agree in page_id, url, html and order are one page.
+    The winner is found by aggregates over keys, whose partial steps collapse a hot address before the shuffle. Bodies are
+    fetched by a hash join on the winners' digests, so they are never sorted; where the winners are few enough for Spark to
+    broadcast them, bodies aren't shuffled either.
     """
-    keys = pages.select("page_id", canonical_url(F.col("url")).alias("canon"), F.col(order).alias("order_key"))
-    newest = keys.groupBy("canon").agg(F.max_by("page_id", F.struct("order_key", "page_id")).alias("page_id"))
-    return pages.join(newest, "page_id")
+    row = F.xxhash64("page_id", "url", "html", F.col(order))
+    keyed = pages.withColumns({"canon": canonical_url(F.col("url")), "__row": row})
+    best = F.struct(F.col(order).alias("order_key"), "page_id", "__row")
+    keys = keyed.select("canon", F.when(F.col("canon").isNull(), F.col("__row")).alias("alone"), best.alias("best"))
+    counted = keys.groupBy("canon", "alone", "best").agg(F.count(F.lit(1)).alias("n"))
+    newest = counted.groupBy("canon", "alone").agg(F.max(F.struct("best", "n")).alias("newest"))
+    newest = newest.select(F.col("newest.best.__row").alias("__row"), F.col("newest.n").alias("n"))
+
+    def fetched(which: Column) -> DataFrame:
+        return keyed.join(newest.filter(which).select("__row").hint("shuffle_hash"), "__row", "left_semi")
+
+    # Only rows that repeat in full have to be reduced to one.
+    return fetched(F.col("n") == 1).unionByName(fetched(F.col("n") > 1).dropDuplicates(["__row"])).drop("__row")
 
 
 def page_cube(pages: DataFrame) -> DataFrame:
@@ -72,20 +110,29 @@ def page_cube(pages: DataFrame) -> DataFrame:
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame) -> DataFrame:
-    """State of each address between two snapshots: new, gone, changed or same. Only digests are shuffled."""
+    """State of each address between two snapshots: new, gone, changed or same. Only digests are shuffled.
+
+    Of the pages of an address, the one of the greatest id, then digest, counts. Pages without an address are compared by
+    their ids.
+    """
 
     def digests(pages: DataFrame, side: str) -> DataFrame:
         t = pages.select("page_id", canonical_url(F.col("url")).alias("canon"), H.content_hash(F.col("html")).alias("h"))
-        return t.groupBy("canon").agg(F.max_by(F.struct("page_id", "h"), "page_id").alias(side))
+        t = t.withColumn("alone", F.when(F.col("canon").isNull(), F.col("page_id")))
+        t = t.groupBy("canon", "alone").agg(F.max(F.struct("page_id", "h")).alias(side))
+        return t.withColumnsRenamed({"canon": f"canon_{side}", "alone": f"alone_{side}"})
 
-    both = digests(old, "o").join(digests(new, "n"), "canon", "full_outer")
+    same_key = F.col("canon_o").eqNullSafe(F.col("canon_n")) & F.col("alone_o").eqNullSafe(F.col("alone_n"))
+    both = digests(old, "o").join(digests(new, "n"), same_key, "full_outer")
     state = (
         F.when(F.col("o").isNull(), "new")
         .when(F.col("n").isNull(), "gone")
         .when(F.col("o.h").eqNullSafe(F.col("n.h")), "same")
         .otherwise("changed")
     )
-    return both.select("canon", F.col("o.page_id").alias("old_id"), F.col("n.page_id").alias("new_id"), state.alias("state"))
+    return both.select(
+        F.coalesce("canon_o", "canon_n").alias("canon"), F.col("o.page_id").alias("old_id"), F.col("n.page_id").alias("new_id"), state.alias("state")
+    )
 
 
 def recent_rank(pages: DataFrame, k: int) -> DataFrame:

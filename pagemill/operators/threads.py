@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Threads whose largest number exceeds this are reported, not expanded: one bad number must not make billions of rows.
+#: Missing numbers that are expanded from one row.
+RUN = 1 << 16
+#: Largest number that oversized_threads doesn't report.
 MAX_SEQ = 1_000_000
 
 
@@ -43,9 +45,10 @@ def author_rollup(messages: DataFrame, approximate: bool = False) -> DataFrame:
 
 
 def message_context(messages: DataFrame) -> DataFrame:
-    """Previous author and running characters in each thread. Texts are dropped before the shuffle."""
+    """Previous author and running characters in each thread. Texts are dropped before the shuffle. Messages of one number
+    are in order of author, then length."""
     t = messages.select("thread_id", "seq", "author", F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
-    w = Window.partitionBy("thread_id").orderBy("seq")
+    w = Window.partitionBy("thread_id").orderBy("seq", "author", "chars")
     return t.select(
         "thread_id",
         "seq",
@@ -56,16 +59,24 @@ def message_context(messages: DataFrame) -> DataFrame:
 
 
 def top_messages(messages: DataFrame, k: int) -> DataFrame:
-    """The k longest messages of each thread, ties by seq. Spark keeps k rows a task before it shuffles."""
+    """The k longest messages of each thread, ties by seq, then author. Spark keeps k rows a task before it shuffles."""
     t = messages.select("thread_id", "seq", "author", F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
-    w = Window.partitionBy("thread_id").orderBy(F.desc("chars"), "seq")
+    w = Window.partitionBy("thread_id").orderBy(F.desc("chars"), "seq", "author")
     return t.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def missing_messages(messages: DataFrame, max_seq: int = MAX_SEQ) -> DataFrame:
-    """Gaps of each thread between 0 and its largest number, as one row for each missing number."""
-    gaps = message_gaps(messages).filter(F.col("gap_to") <= max_seq)
-    return gaps.select("thread_id", F.explode(F.sequence("gap_from", "gap_to")).alias("seq"))
+def missing_messages(messages: DataFrame, max_seq: int | None = None) -> DataFrame:
+    """Gaps of each thread between 0 and its largest number, as one row for each missing number.
+
+    Long gaps are expanded in runs. One absurd number makes very many rows: with max_seq, only missing numbers up to it are
+    listed, and oversized_threads reports the threads that go on.
+    """
+    gaps = message_gaps(messages)
+    if max_seq is not None:
+        gaps = gaps.withColumn("gap_to", F.least("gap_to", F.lit(max_seq).cast("long"))).filter("gap_from <= gap_to")
+    starts = gaps.select("thread_id", "gap_to", F.explode(F.sequence("gap_from", "gap_to", F.lit(RUN).cast("long"))).alias("begin"))
+    run = F.sequence("begin", F.least("gap_to", F.col("begin") + (RUN - 1)))
+    return starts.select("thread_id", F.explode(run).alias("seq"))
 
 
 def message_gaps(messages: DataFrame) -> DataFrame:
@@ -79,6 +90,6 @@ def message_gaps(messages: DataFrame) -> DataFrame:
 
 
 def oversized_threads(messages: DataFrame, max_seq: int = MAX_SEQ) -> DataFrame:
-    """Threads whose numbers exceed max_seq, with the number: what missing_messages leaves out."""
+    """Threads whose numbers exceed max_seq, with the largest."""
     top = messages.groupBy("thread_id").agg(F.max("seq").alias("max_seq"))
     return top.filter(F.col("max_seq") > max_seq)

@@ -38,6 +38,10 @@ def write_records(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new path below the folder that the session's driver and executors share; local where it names none, as in tests."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{shared}/{uuid.uuid4().hex}"
+    """A new path below the folder that the session's driver and executors share. On one machine, as in tests, it is local
+    where none is named; on a cluster that is an error, as the folder would be missing on other machines."""
+    sc = spark.sparkContext
+    shared = sc.getConf().get("spark.checkpoint.dir", None)
+    if not shared and sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir names no shared folder")
+    return f"{shared or tempfile.mkdtemp(prefix='spark-')}/{uuid.uuid4().hex}"

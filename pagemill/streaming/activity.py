@@ -26,13 +26,25 @@ def read_stream(spark: SparkSession, folder: str, files: str = "*.parquet") -> D
 
 
 def store_counts(counts: DataFrame, folder: str) -> None:
-    """Run a stream of counts over what there is, and keep its latest full result in folder/counts.
+    """Run a stream of counts over what there is, and keep its changed counts in folder/counts, by batch.
 
-    Progress and state are kept in folder/state, so that a run that is cut off goes on where it was.
+    Update mode: the state of windows that the watermark has passed is dropped. A batch that runs again replaces what it
+    wrote, and leaves that of other batches alone. Progress and state are kept in folder/state, so that a run that is cut
+    off goes on where it was. read_counts gives the result.
     """
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/counts")
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
 
-    writer = counts.writeStream.outputMode("complete").foreachBatch(store).option("checkpointLocation", f"{folder}/state")
+    writer = counts.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", f"{folder}/state")
     writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def read_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts of a stored stream: of each window and event type, those of the last batch that changed them."""
+    return compacted(spark.read.parquet(f"{folder}/counts"))
+
+
+def compacted(counts: DataFrame) -> DataFrame:
+    """The last counts of each window and event type."""
+    return counts.groupBy("window_start", "window_end", "event_type").agg(F.max_by("n", "batch").alias("n"))

@@ -1,7 +1,13 @@
+import html
+import html.entities
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from pagemill.functions import html as H
 from pagemill.functions.urls import canonical_url, resolve_href, url_host
+from pagemill.jobs import workflows as W
 from pagemill.operators import links as L
 from pagemill.operators import pages as P
 from pagemill.sources.tables import read_pages, write_records
@@ -35,6 +41,15 @@ def test_entities_decode_once(spark):
     assert one(spark, H.decode_all_entities, "&amp;lt; &eacute; &#233; &#x41;", None) == ["&lt; é é A", None]
 
 
+def test_all_entities_as_the_standard_library(spark):
+    rng = random.Random(4)
+    names = [*html.entities.html5, "amp", "notit;", "nosuch;", "#65", "#x1F600;", "#128;", "#x9f", "#0;", "#xD800;", "#1114112;", "#13;", "#11;", "#xFFFE;",
+             "#x1FFFF;", "#99999999999999999999;", "#;", "#x;", "#xg", "#000000000000065;", "#160", "#xfdd0;", "#12;", "#9;"]
+    texts = ["", "&", "&&amp;&", "a & b;", "&amp;amp;lt;", "&ampx &notin; &notx &Not", *(f"x&{n} y&{n}z" for n in names[-24:])]
+    texts += ["".join(f"{rng.choice(['', ' ', 'a', ';', '<'])}&{rng.choice(names)}" for _ in range(9)) for _ in range(400)]
+    assert one(spark, H.decode_all_entities, *texts) == [html.unescape(t) for t in texts]
+
+
 def test_title_and_text(spark):
     page = "<html><TITLE>a\nb</TITLE><script>x = '</p>'</script><!-- c --><p>one <b>two</b>\t\n</p>"
     assert one(spark, H.page_title, page, "<title></title>", "none", None) == ["a\nb", None, None, None]
@@ -53,15 +68,27 @@ def test_truncated_pages_split_the_table(spark):
 
 
 def test_links_resolve(spark):
-    p = pages(spark, [(1, "https://h/x/y?q", '<a href="/a"><a href="http://o/b"><a  HREF="../c"><a href="d"><a href="//e/f"><a href=\'/g\'>')])
-    out = L.extract_links(p).orderBy("pos").collect()
-    assert [(r.href, r.target) for r in out] == [
-        ("/a", "https://h/a"), ("http://o/b", "http://o/b"), ("../c", None), ("d", None), ("//e/f", None),
+    tags = """<a href="/a"><a class=x href = 'http://o/b'><a\tHREF="../c"><a href=d?e#f><a data-href="no" href="//e/f"><a name=q><abbr href="/no">
+        <a href="mailto:x@y"><a href=""><a href="?p=2"><a href="#t"><a href="../../../g/./h/.."><a rel="x" href=" /i/../j ">"""
+    out = L.extract_links(pages(spark, [(1, "https://h/x/y?q", tags), (2, None, tags), (3, "https://h", '<a href="k">')]))
+    got = [(r.href, r.target) for r in out.filter("page_id = 1").orderBy("pos").collect()]
+    assert got == [
+        ("/a", "https://h/a"), ("http://o/b", "http://o/b"), ("../c", "https://h/c"), ("d?e#f", "https://h/x/d?e#f"), ("//e/f", "https://e/f"),
+        ("mailto:x@y", None), ("", "https://h/x/y"), ("?p=2", "https://h/x/y?p=2"), ("#t", "https://h/x/y?q#t"), ("../../../g/./h/..", "https://h/g/"),
+        (" /i/../j ", "https://h/j"),
     ]
+    assert [r.target for r in out.filter("page_id = 2 and target is not null").collect()] == ["http://o/b"]
+    assert [r.target for r in out.filter("page_id = 3").collect()] == ["https://h/k"]
     df = spark.createDataFrame([("bad", "/a")], "b string, h string")
     assert df.select(resolve_href(F.col("b"), F.col("h")).alias("x")).first().x is None
 
 
+def test_blocks_and_titles_with_attributes(spark):
+    out = P.extract_blocks(pages(spark, [(1, "u", '<P class="x">a</p ><pre>no</pre><p\nid=1>b</P><p>c</p>')]))
+    assert [r.block for r in out.orderBy("pos").collect()] == ["a", "b", "c"]
+    assert one(spark, H.page_title, '<title lang="en">t</title>') == ["t"]
+
+
 def test_frontier_and_internal_links_part_the_targets(spark):
     p = pages(spark, [(1, "http://h/a.html", '<a href="/b"><a href="/c"><a href="/c?x=1">'), (2, "https://www.h/b/", '<a href="/a">')])
     links = L.extract_links(p)
@@ -79,25 +106,48 @@ def test_latest_pages_one_row_each(spark):
     assert [(r.page_id, r["rank"]) for r in P.recent_rank(p, 2).filter("canon = 'h/a'").orderBy("rank").collect()] == [(5, 1), (3, 2)]
 
 
+def test_latest_pages_with_repeated_and_null_keys(spark):
+    rows = [(1, "http://h/a", "x"), (1, "http://h/a/", "y"), (2, "http://h/b", "z"), (2, "http://h/b", "z"), (None, "http://h/c", "n"), (None, None, "p")]
+    p = pages(spark, [*rows, (7, None, "q"), (7, None, "r"), (7, None, "r")])
+    out = sorted(((r.canon or "", r.page_id or 0, r.html) for r in P.latest_pages(p).collect()))
+    assert out in [[("", 0, "p"), ("", 7, "q"), ("", 7, "r"), ("h/a", 1, w), ("h/b", 2, "z"), ("h/c", 0, "n")] for w in "xy"]
+    fetched = p.withColumn("at", F.when(F.col("html") == "x", 9).otherwise(3))
+    assert [r.html for r in P.latest_pages(fetched, order="at").filter("canon = 'h/a'").collect()] == ["x"]
+    records = W.current_page_records(p, spark.createDataFrame([(1, "b$", "bee")], "prio int, pat string, kind string"))
+    assert len(records.columns) == 7 and records.count() == 6 and [r.kind for r in records.filter("kind is not null").collect()] == ["bee"]
+
+
+def test_bodies_are_not_sorted(spark):
+    p = pages(spark, [(1, "http://h/a", "x")])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = P.latest_pages(p)._jdf.queryExecution().sparkPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+
+
 def test_diff_snapshots_covers_all_keys(spark):
-    old = pages(spark, [(1, "http://h/a", "x"), (2, "http://h/b", "y"), (3, "http://h/c", None)])
-    new = pages(spark, [(7, "http://h/a/", "x"), (8, "http://h/b", "z"), (9, "http://h/d", "w"), (10, "http://h/c", None)])
-    out = {r.canon: r.state for r in P.diff_snapshots(old, new).collect()}
-    assert out == {"h/a": "same", "h/b": "changed", "h/c": "same", "h/d": "new"}
+    old = pages(spark, [(1, "http://h/a", "x"), (2, "http://h/b", "y"), (3, "http://h/c", None), (4, None, "n"), (5, None, "m")])
+    new = pages(spark, [(7, "http://h/a/", "x"), (8, "http://h/b", "z"), (9, "http://h/d", "w"), (10, "http://h/c", None), (4, None, "n"), (6, None, "m")])
+    out = sorted((r.canon or "", r.old_id or r.new_id, r.state) for r in P.diff_snapshots(old, new).collect())
+    assert out == [("", 4, "same"), ("", 5, "gone"), ("", 6, "new"), ("h/a", 1, "same"), ("h/b", 2, "changed"), ("h/c", 3, "same"), ("h/d", 9, "new")]
     assert {r.state for r in P.diff_snapshots(old, new.limit(0)).collect()} == {"gone"}
 
 
 def test_rules(spark):
-    p = pages(spark, [(1, "http://h/t.html", "<h1></h1><title>T</title>"), (2, "http://h/x", "<h1>H</h1>")])
-    rules = spark.createDataFrame([(2, ".", "any"), (1, r"\.html$", "article")], "prio int, pat string, kind string")
+    p = pages(spark, [(1, "http://h/t.html", "<h1></h1><title>T</title>"), (2, "http://h/x", "<h1>H</h1>"), (3, None, "<h1>N</h1>"), (4, "ftp", "")])
+    rules = spark.createDataFrame([(2, "http", "any"), (1, r"\.html$", "article")], "prio int, pat string, kind string")
     kinds = P.classify_pages(p, rules)
-    assert {r.page_id: r.kind for r in kinds.collect()} == {1: "article", 2: "any"}
+    assert {r.page_id: r.kind for r in kinds.collect()} == {1: "article", 2: "any", 3: None, 4: None}
     fields = spark.createDataFrame(
         [("article", "title", 1, "<h1>(.*?)</h1>"), ("article", "title", 2, "<title>(.*?)</title>"), ("any", "title", 1, "<h2>(.*?)</h2>")],
         "kind string, field string, prio int, pattern string",
     )
-    out = {r.page_id: (r.field, r.value) for r in P.extract_fields(p, kinds, fields).collect()}
-    assert out == {1: ("title", "T"), 2: ("title", None)}
+    out = P.extract_fields(P.with_kind(p, rules), fields)
+    assert {r.page_id: (r.field, r.value) for r in out.collect()} == {1: ("title", "T"), 2: ("title", None)}
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        P.classify_pages(p, rules.crossJoin(spark.range(600)))
 
 
 def test_write_and_read(spark, tmp_path):

@@ -1,7 +1,10 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from pagemill.operators import threads as T
 from pagemill.sources.schemas import MESSAGES
+from pagemill.streaming import activity as A
 from pagemill.streaming.activity import activity_counts
 
 
@@ -33,7 +36,10 @@ def test_gaps(spark):
     m = messages(spark, rows)
     gaps = sorted(map(tuple, T.message_gaps(m).collect()))
     assert gaps == [(1, 3, 4), (3, 0, 3), (4, 0, 0), (4, 2, 10**12 - 1)]
-    assert sorted(map(tuple, T.missing_messages(m).collect())) == [(1, 3), (1, 4), (3, 0), (3, 1), (3, 2), (3, 3), (4, 0)]
+    few = [(1, 3), (1, 4), (3, 0), (3, 1), (3, 2), (3, 3), (4, 0)]
+    assert sorted(map(tuple, T.missing_messages(m, 5).collect())) == [*few, *((4, i) for i in range(2, 6))]
+    long = messages(spark, [(9, 200_001, "a", ""), (9, 0, "a", "")])
+    assert [r.seq for r in T.missing_messages(long).orderBy("seq").collect()] == list(range(1, 200_001))
     assert [tuple(r) for r in T.oversized_threads(m).collect()] == [(4, 10**12)]
 
 
@@ -70,3 +76,14 @@ def test_late_events_are_dropped(spark, tmp_path):
     out = run(spark, tmp_path, batches, "append", delay="5 minutes")
     starts = {r[0].minute + 60 * r[0].hour: r[3] for r in out}
     assert starts == {0: 1, 120: 1, 240: 1}
+
+
+def test_stored_stream_goes_on_and_drops_old_state(spark, tmp_path):
+    src, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [[event(1, 0), event(2, 1)], [event(3, 2), event(4, 120)], [event(5, 240)], [event(6, 1), event(7, 480)]]
+    for rows in batches:
+        flat = spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        flat.coalesce(1).write.mode("append").parquet(src)
+        A.store_counts(activity_counts(A.read_stream(spark, src), "10 minutes", delay="5 minutes"), folder)
+    out = {r.window_start.hour * 60 + r.window_start.minute: r.n for r in A.read_counts(spark, folder).collect()}
+    assert out == {0: 3, 120: 1, 240: 1, 480: 1}  # the last event of minute 1 came too late
