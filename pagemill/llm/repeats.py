@@ -8,24 +8,31 @@ text. Equal windows have equal anchors at equal places, so only bundles of one a
    row. Anchors met once drop out; that is most of them. Bundles with equal content, as whole copies and the inside of
    shared passages give, repeat in full.
 2. The others fetch their slices of text, one of each content, and meet by anchor in index shards. A shard takes them
-   in batches: each gets a suffix array, is merge-scanned against the levels of the index for windows that match over
-   the whole LENGTH, and levels of equal size merge, so that each window is merged a logarithmic number of times.
+   in batches of BATCH windows. A batch gets a suffix array, its windows in order of all their bytes, and is merge-scanned
+   against the levels of the shard's index for windows that match over the whole LENGTH. What is new becomes a level, and
+   levels of about equal size merge, so that each window is merged a logarithmic number of times.
 3. Repeated windows are joined to their documents and their union is cut out.
 
-Suffix arrays order windows by their first eight bytes and then by a 64-bit fingerprint of all LENGTH bytes: equal
-windows are neighbours, which is all that a scan for full-length matches needs. Anchors with many bundles, such as the
-border of a passage that countless documents share, are split over shards by the place of the anchor in the window.
+Order and matches are by bytes: within a batch by doubling ranks, between levels by binary search. An index keeps one of
+equal windows, so a shard's memory grows with its different windows only. Anchors with many bundles, such as a line that
+countless documents share, are split over shards by the place of the anchor in the window and by the bytes that all
+windows of those places have: equal windows agree in both.
+
+RepeatIndex keeps the family of all bundles in a folder, for batches of documents that come later: its levels are tables that
+a new batch meets by anchor, and tables of about equal size are merged into one.
 """
 
 import functools
+import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import BASE, UNBASE, durable, mixed, powers, ranges, row_key, text_batches
+from pagemill.llm.common import BASE, UNBASE, delete, durable, mixed, powers, ranges, row_key, text_batches
 
 LENGTH = 200
 #: Bytes of an anchor k-mer, and k-mers in a window.
@@ -37,6 +44,8 @@ SLICE = 1 << 19
 HOT, PLACES = 1000, 16
 #: Bundles among which a task joins equal ones before the shuffle.
 GROUPED = 1 << 17
+#: Windows of a batch of an index shard, and windows whose bytes are compared at once.
+BATCH, COMPARED = 1 << 16, 1 << 14
 
 
 @functools.cache
@@ -143,11 +152,12 @@ def _packed(batches):
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(packed, pa.binary())], names=[*part.schema.names[:-1], "packed"])
 
 
-BUNDLE = "key long, start int, n int, anchor long, part int, known boolean, slice binary"
+BUNDLE = "key long, start int, n int, anchor long, part long, known boolean, slice binary"
 
 
 def _slices(batches):
-    """The slices of text of the bundles listed for each document; hot anchors in parts, by place."""
+    """The slices of text of the bundles listed for each document; hot anchors in parts, by place and what all windows of
+    these places have in common."""
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for i in range(len(batch)):
@@ -159,98 +169,167 @@ def _slices(batches):
                 done = 0
                 while done < n:
                     # windows of one part have places of one range; places fall as windows move on
-                    part = (place - done) // PLACES if b["hot"] else -1
-                    size = min(n - done, (place - done) % PLACES + 1) if b["hot"] else n
+                    size, part = n, -1
+                    if b["hot"]:
+                        block = (place - done) // PLACES
+                        size = min(n - done, (place - done) % PLACES + 1)
+                        first = start + place - block * PLACES  # of the bytes that windows of all the places have
+                        core = raw[first : first + LENGTH - PLACES + 1]
+                        part = int.from_bytes(hashlib.blake2b(core, digest_size=7, salt=block.to_bytes(2)).digest())
                     s = start + done
                     out.append((key, s, size, b["anchor"], part, b["known"], raw[s : s + size - 1 + LENGTH]))
                     done += size
             columns = zip(*out, strict=True)
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
             names = ("key", "start", "n", "anchor", "part", "known", "slice")
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
+def heads(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes at each place, most significant first."""
+    wide = np.lib.stride_tricks.sliding_window_view(text, 8)
+    return np.ascontiguousarray(wide[at]).view(">u8").ravel().astype(np.uint64)
+
+
+def window_ranks(text: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Ranks of the windows at start by all their bytes, equal ones equal: ranks by 8 bytes are doubled to 16 and so on."""
+    rank = np.unique(heads(text, np.arange(len(text) - 7)), return_inverse=True)[1]
+    width = 8
+    while width < LENGTH:
+        # what two runs of width bytes cover, overlapping in the last round; runs beyond the text are in no window
+        step = min(width, LENGTH - width)
+        n = len(rank) - step
+        rank = np.unique(rank[:n].astype(np.int64) << 32 | rank[step : step + n], return_inverse=True)[1]
+        width += step
+    return rank[start]
+
+
 class SuffixArray:
-    """Windows in order of their first eight bytes, then of their fingerprints."""
+    """Different windows in order of their bytes: text, where they start in it, their first eight bytes, and what owner
+    (key, begin, known) each has; shown says which were already reported."""
 
-    def __init__(self, head: np.ndarray, print_: np.ndarray, window: np.ndarray):
-        order = np.lexsort((print_, head))
-        self.head, self.print, self.window = head[order], print_[order], window[order]
+    def __init__(self, text: np.ndarray, start: np.ndarray, head: np.ndarray, owner: np.ndarray, shown: np.ndarray):
+        self.text, self.start, self.head, self.owner, self.shown = text, start, head, owner, shown
 
     def __len__(self) -> int:
-        return len(self.head)
-
-    def matches(self) -> np.ndarray:
-        """Windows that equal a neighbour."""
-        same = (self.head[1:] == self.head[:-1]) & (self.print[1:] == self.print[:-1])
-        hit = np.zeros(len(self), bool)
-        hit[1:] |= same
-        hit[:-1] |= same
-        return self.window[hit]
+        return len(self.start)
+
+    def windows(self, which: np.ndarray) -> np.ndarray:
+        """The bytes of windows, a row for each."""
+        return np.lib.stride_tricks.sliding_window_view(self.text, LENGTH)[self.start[which]]
+
+    def locate(self, other: "SuffixArray") -> tuple[np.ndarray, np.ndarray]:
+        """Where each window of other belongs among these, and whether the one there is equal to it."""
+        low = np.searchsorted(self.head, other.head, "left")
+        high = np.searchsorted(self.head, other.head, "right")
+        same = np.zeros(len(other), bool)
+        asked = np.flatnonzero(low < high)
+        for i in range(0, len(asked), COMPARED):
+            some = asked[i : i + COMPARED]
+            mine = other.windows(some)
+            live = np.arange(len(some))
+            while len(live):  # binary search among those of the same head
+                at = some[live]
+                middle = (low[at] + high[at]) // 2
+                theirs = self.windows(middle)
+                differs = theirs != mine[live]
+                first = differs.argmax(1)
+                rows = np.arange(len(live))
+                equal = ~differs[rows, first]
+                less = ~equal & (theirs[rows, first] < mine[live][rows, first])
+                low[at[less]] = middle[less] + 1
+                high[at[~less]] = middle[~less]
+                same[at[equal]] = True
+                low[at[equal]] = middle[equal]
+                live = live[~equal & (low[at] < high[at])]
+        return low, same
 
     def merged(self, other: "SuffixArray") -> "SuffixArray":
-        return SuffixArray(*(np.concatenate([getattr(self, f), getattr(other, f)]) for f in ("head", "print", "window")))
+        """Both in one, no window of other being among these: each keeps its order, and other's go where they belong."""
+        place = self.locate(other)[0] + np.arange(len(other))
+        mine = np.ones(len(self) + len(other), bool)
+        mine[place] = False
+
+        def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            out = np.empty((len(mine), *a.shape[1:]), a.dtype)
+            out[mine], out[~mine] = a, b
+            return out
+
+        return SuffixArray(
+            np.concatenate([self.text, other.text]),
+            both(self.start, other.start + len(self.text)),
+            *(both(getattr(self, f), getattr(other, f)) for f in ("head", "owner", "shown")),
+        )
 
 
 class IndexFamily:
-    """Suffix arrays of batches in levels; a new one meets every level, and equal-sized levels merge."""
+    """Suffix arrays in levels; a new batch meets every level, and levels of about equal size merge."""
 
     def __init__(self):
         self.levels: list[SuffixArray] = []
 
-    def insert(self, new: SuffixArray) -> list[np.ndarray]:
-        """Windows, old and new, found to match over the whole length by this batch."""
-        found = [new.matches()]
-        kept = []
+    def insert(self, text: np.ndarray, start: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Owners (key, begin, known) of the windows, of this batch and earlier ones, that are now known to repeat."""
+        rank = window_ranks(text, start)
+        order = np.argsort(rank, kind="stable")
+        rank = rank[order]
+        lead = np.ones(len(order), bool)
+        lead[1:] = rank[1:] != rank[:-1]
+        group = np.cumsum(lead) - 1
+        repeats = np.diff(np.append(np.flatnonzero(lead), len(order))) > 1
+        one = order[lead]
+        new = SuffixArray(text, start[one], heads(text, start[one]), owner[one], np.ones(len(one), bool))
+        found, fresh = [], np.ones(len(one), bool)
         for level in self.levels:  # from large to small
-            both = new.merged(level)
-            found.append(both.matches())
-            kept.append(level)
-        self.levels = [*kept, new]
+            place, same = level.locate(new)
+            old = place[same]
+            found.append(level.owner[old[~level.shown[old]]])
+            level.shown[old] = True
+            fresh &= ~same
+        repeats |= ~fresh
+        found.append(owner[order[repeats[group]]])
+        new.shown = repeats
+        if fresh.any():
+            new.start, new.head, new.owner, new.shown = (x[fresh] for x in (new.start, new.head, new.owner, new.shown))
+            self.levels.append(new)
         while len(self.levels) > 1 and len(self.levels[-2]) <= 2 * len(self.levels[-1]):
             small, large = self.levels.pop(), self.levels.pop()
             self.levels.append(large.merged(small))
-        return found
-
-
-def window_keys(text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First eight bytes, most significant first, and the fingerprints of the windows at start."""
-    wide = np.lib.stride_tricks.sliding_window_view(text, 8)
-    head = np.ascontiguousarray(wide[start]).view(">u8").ravel().astype(np.uint64)
-    return head, _hash(_sums(text), start, start + LENGTH)
+        return np.concatenate(found)
 
 
 def _shard(batches):
     """(key, begin, end) of the repeated windows of the bundles of an index shard, as spans of bytes."""
-    family, rows, total = IndexFamily(), [], 0
-    found: list[np.ndarray] = []
+    family = IndexFamily()
+    held: list[tuple[bytes, int, int, int, bool]] = []
+    n_held = 0
+
+    def take() -> pa.RecordBatch:
+        text = np.frombuffer(b"".join(h[0] for h in held), np.uint8)
+        key, begin, n, known = (np.array(x) for x in list(zip(*held, strict=True))[1:])
+        at = np.cumsum([0, *(len(h[0]) for h in held[:-1])])
+        start = ranges(at, n)
+        owner = np.stack([np.repeat(key, n), ranges(begin, n), np.repeat(known, n)], 1).astype(np.int64)
+        owner = family.insert(text, start, owner)
+        owner = owner[owner[:, 2] == 0]
+        owner = owner[np.lexsort((owner[:, 1], owner[:, 0]))]
+        first = np.ones(len(owner), bool)  # windows that lie one after the other make one span
+        first[1:] = (owner[1:, 0] != owner[:-1, 0]) | (owner[1:, 1] > owner[:-1, 1] + 1)
+        s = np.flatnonzero(first)
+        last = np.append(s[1:], len(owner))[: len(s)] - 1
+        spans = [pa.array(owner[s, 0]), pa.array(owner[s, 1]), pa.array(owner[last, 1] + LENGTH)]
+        return pa.RecordBatch.from_arrays(spans, names=["key", "begin", "end"])
+
     for batch in batches:
-        for part, text, at in text_batches(batch, "slice", SLICE * 8):
-            n = part.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            known = part.column(5).to_numpy(zero_copy_only=False)
-            start = ranges(at[:-1], n)
-            window = total + np.arange(len(start))
-            head, print_ = window_keys(text, start)
-            rows.append((part.column(0).to_numpy(zero_copy_only=False), part.column(1).to_numpy(zero_copy_only=False).astype(np.int64), n, known))
-            found += family.insert(SuffixArray(head, print_, window))
-            total += len(start)
-    if not rows:
-        return
-    hit = np.zeros(total + 1, bool)
-    for f in found:
-        hit[f] = True
-    key, begin, n, known = (np.concatenate(x) for x in zip(*rows, strict=True))
-    first = np.cumsum(n) - n
-    hit[:-1] &= ~np.repeat(known, n)
-    fresh = hit[:-1].copy()
-    fresh[1:] &= ~hit[:-2]
-    fresh[first] |= hit[first]
-    s = np.flatnonzero(fresh)
-    run = np.diff(np.append(np.cumsum(hit[:-1])[s] - 1, hit.sum()))
-    of = np.searchsorted(first, s, "right") - 1
-    from_ = begin[of] + s - first[of]
-    arrays = [pa.array(key[of]), pa.array(from_), pa.array(from_ + run - 1 + LENGTH)]
-    yield pa.RecordBatch.from_arrays(arrays, names=["key", "begin", "end"])
+        columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("slice", "key", "start", "n", "known")]
+        for row in zip(*columns, strict=True):
+            held.append(row)
+            n_held += row[3]
+            if n_held >= BATCH:
+                yield take()
+                held, n_held = [], 0
+    if held:
+        yield take()
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -264,35 +343,96 @@ def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(b, e) for b, e in out]
 
 
+def _as_text(docs: DataFrame) -> DataFrame:
+    return docs.select("key", F.coalesce("text", F.lit("")).alias("__text"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(key, spans): for each distinct row of docs with repeats, the spans of bytes that repeated windows cover.
 
     docs: (key, text). Rows that share a key are occurrences of their own. Spans may overlap.
     """
-    texts = docs.select("key", F.coalesce("text", F.lit("")).alias("__text"))
-    rows = texts.mapInArrow(_anchors, ANCHORED)
-    by_anchor, by_content = Window.partitionBy("anchor"), Window.partitionBy("anchor", "content")
-    met = F.when(F.col("others").isNotNull(), F.size("others") + 1).otherwise(1)
-    counted = rows.withColumns(
-        {
-            "first": F.row_number().over(by_content.orderBy("key", "start")) == 1,
-            "alike": F.sum(met).over(by_content),
-            "met": F.sum(met).over(by_anchor),
-        }
-    )
-    met = durable(counted.filter("met > 1"))
+    texts = _as_text(docs)
+    return _spans(texts.mapInArrow(_anchors, ANCHORED), texts.mapInArrow(_packed, "key long, packed binary"))
+
+
+def _spans(rows: DataFrame, packed: DataFrame) -> DataFrame:
+    """The spans that repeat among the bundles in rows; packed has their texts.
+
+    How often an anchor and a content are met is summed before the shuffle, and then joined to the bundles, so that a hot
+    anchor fills no task: its sums are one row, and Spark splits the join.
+    """
+    times = F.when(F.col("others").isNotNull(), F.size("others") + 1).otherwise(1)
+    rows = rows.withColumn("times", times)
+    by_content = rows.groupBy("anchor", "content").agg(F.sum("times").alias("alike"), F.min(F.struct("key", "start")).alias("lead"))
+    met = by_content.groupBy("anchor").agg(F.sum("alike").alias("met")).filter("met > 1")
+    counts = durable(by_content.join(met, "anchor"))
+    met = durable(rows.join(counts, ["anchor", "content"]))
     places = F.concat(F.array(F.struct("key", "start")), F.coalesce("others", F.array().cast("array<struct<key:long,start:int>>")))
     whole = met.filter("alike > 1").select(F.col("n"), F.inline(places)).select(
         "key", F.col("start").cast("long").alias("begin"), (F.col("start") + F.col("n") - 1 + LENGTH).cast("long").alias("end")
     )
     one = F.struct("start", "n", "place", "anchor", (F.col("alike") > 1).alias("known"), (F.col("met") > HOT).alias("hot"))
-    wanted = met.filter("alike < met and first").groupBy("key").agg(F.collect_list(one).alias("wanted"))
-    packed = texts.mapInArrow(_packed, "key long, packed binary")
+    first = F.struct("key", "start") == F.col("lead")
+    wanted = met.filter(first & F.expr("alike < met")).groupBy("key").agg(F.collect_set(one).alias("wanted"))
     slices = packed.join(wanted.hint("shuffle_hash"), "key").select("key", "packed", "wanted").mapInArrow(_slices, BUNDLE)
     parts = slices.repartition("anchor", "part").mapInArrow(_shard, "key long, begin long, end long")
     return whole.unionByName(parts).groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
 
+class RepeatIndex:
+    """The bundles of all documents added so far, in a folder of the shared store, as a logarithmic family of tables.
+
+    A new batch meets the bundles of every level that share an anchor with it; then it becomes a level, in order of
+    anchor, and levels of about equal size are merged. A manifest names the tables that count; it is written last, so a run
+    that is cut off changes nothing. Several writers at a time are not supported.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self.version, self.levels, self.texts = 0, [], []
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest")
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            rows = spark.read.parquet(f"{folder}/manifest")
+            rows = rows.filter(F.col("version") == rows.agg(F.max("version")).first()[0]).orderBy("place").collect()
+            self.version = rows[0].version
+            self.levels = [(r.path, r.n) for r in rows if r.kind == "level"]
+            self.texts = [r.path for r in rows if r.kind == "texts"]
+
+    def _write(self, df: DataFrame, kind: str) -> str:
+        path = f"{self.folder}/{kind}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return path
+
+    def add(self, docs: DataFrame) -> DataFrame:
+        """(key, spans) of what docs (key, text) repeat among themselves and of what they share with earlier documents,
+        for those as well. Earlier spans are not given again."""
+        read = self.spark.read.parquet
+        texts = _as_text(docs)
+        new = self._write(texts.mapInArrow(_anchors, ANCHORED).sortWithinPartitions("anchor"), "level")
+        self.texts.append(self._write(texts.mapInArrow(_packed, "key long, packed binary"), "texts"))
+        asked = read(new).select("anchor").distinct()
+        rows = read(new)
+        for path, _ in self.levels:
+            rows = rows.unionByName(read(path).join(asked, "anchor", "left_semi"))
+        spans = durable(_spans(rows, read(*self.texts)))
+        self.levels.append((new, read(new).count()))
+        gone = []
+        while len(self.levels) > 1 and self.levels[-2][1] <= 2 * self.levels[-1][1]:
+            (small, n), (large, m) = self.levels.pop(), self.levels.pop()
+            both = read(large, small).repartition("anchor").sortWithinPartitions("anchor")
+            self.levels.append((self._write(both, "level"), n + m))
+            gone += [small, large]
+        self.version += 1
+        named = [("level", p, n) for p, n in self.levels] + [("texts", p, 0) for p in self.texts]
+        rows = [(self.version, i, *row) for i, row in enumerate(named)]
+        manifest = self.spark.createDataFrame(rows, "version long, place int, kind string, path string, n long")
+        manifest.coalesce(1).write.mode("append").parquet(f"{self.folder}/manifest")
+        for path in gone:
+            delete(self.spark, path)
+        return spans
+
+
 def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep, n_bytes, n_removed, n_spans and kept (the remaining bytes) for each row of docs (doc_id, text).
 

@@ -61,9 +61,67 @@ def test_repeated_rows_and_empty(spark):
     assert repeats.remove_repeats(docs.limit(0)).collect() == []
 
 
-def test_family_levels_are_logarithmic():
-    family, rng = repeats.IndexFamily(), np.random.default_rng(1)
-    for i in range(64):
-        keys = rng.integers(0, 1 << 60, 100).astype(np.uint64)
-        family.insert(repeats.SuffixArray(keys, keys, np.arange(100) + 100 * i))
-    assert len(family.levels) <= 7 and sum(map(len, family.levels)) == 6400
+def test_small_batches_meet_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BATCH", 150)
+    monkeypatch.setattr(repeats, "COMPARED", 32)
+    check(spark, corpus())
+
+
+def test_long_text(spark):
+    rng = random.Random(3)
+    long = "".join(rng.choices("abcdefgh \n", k=3_000_000))
+    docs = spark.createDataFrame([(1, long), (2, long[500_000:500_400]), (3, "z")], "doc_id long, text string")
+    out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in repeats.remove_repeats(docs).collect()}
+    assert out == {1: (3_000_000, 400, 1), 2: (400, 400, 1), 3: (1, 0, 0)}
+
+
+def bytes_of(rng, n):
+    return np.frombuffer(bytes(rng.choices(b"ab", weights=(9, 1), k=n)), np.uint8)
+
+
+def test_family_against_plain_counts():
+    rng, family, seen, found, texts = random.Random(1), repeats.IndexFamily(), Counter(), set(), []
+    sizes = []
+    for i in range(40):
+        text = bytes_of(rng, 700) if i % 3 else np.concatenate([texts[-1][50:400], bytes_of(rng, 300)]) if texts else bytes_of(rng, 650)
+        texts.append(text)
+        n = len(text) - repeats.LENGTH + 1
+        seen.update(text[j : j + repeats.LENGTH].tobytes() for j in range(n))
+        owner = np.stack([np.full(n, i), np.arange(n), np.zeros(n, int)], 1)
+        found |= {tuple(o[:2]) for o in family.insert(text, np.arange(n), owner).tolist()}
+        sizes.append(len(family.levels))
+        for level in family.levels:
+            held = [w.tobytes() for w in level.windows(np.arange(len(level)))]
+            assert held == sorted(set(held))
+    want = {(i, j) for i, t in enumerate(texts) for j in range(len(t) - repeats.LENGTH + 1) if seen[t[j : j + repeats.LENGTH].tobytes()] > 1}
+    assert found == want and max(sizes) > 2 and len(family.levels) <= 7
+    assert sum(map(len, family.levels)) == len(seen)
+
+
+def test_windows_are_in_order_of_their_bytes():
+    text = bytes_of(random.Random(7), 3000)
+    start = np.arange(len(text) - repeats.LENGTH + 1)
+    rank = repeats.window_ranks(text, start)
+    windows = [text[i : i + repeats.LENGTH].tobytes() for i in start]
+    place = {w: i for i, w in enumerate(sorted(set(windows)))}
+    assert rank.tolist() == [place[w] for w in windows]
+
+
+def test_index_meets_later_batches(spark, tmp_path):
+    """Five batches in two runs: what they reveal is what brute force finds in all texts at once, and levels merge."""
+    texts, folder = corpus(), str(tmp_path / "index")
+    rng, spans, levels = random.Random(2), {}, []
+    batches = [[] for _ in range(5)]
+    for i, t in enumerate(texts):
+        batches[rng.randrange(5)].append((i, t))
+    for run in (batches[:2], batches[2:]):
+        index = repeats.RepeatIndex(spark, folder)
+        for batch in run:
+            docs = spark.createDataFrame(batch, "key long, text string")
+            for r in index.add(docs).collect():
+                spans.setdefault(r.key, []).extend((s["begin"], s["end"]) for s in r.spans)
+            levels.append([n for _, n in index.levels])
+    assert max(map(len, levels)) > 1 and any(len(b) <= len(a) for a, b in zip(levels, levels[1:], strict=False))
+    for i, (_, removed, n_spans, _) in enumerate(brute(texts)):
+        runs = repeats.merged_spans(spans.get(i, []))
+        assert (sum(e - b for b, e in runs), len(runs)) == (removed, n_spans), i
