@@ -47,6 +47,15 @@ def delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Rows of keys up to which a table is broadcast, so that the other side stays where it is; beyond, both sides are shuffled.
+MOST_KEYS = 1 << 20
+
+
+def beside(keys: DataFrame, most: int = MOST_KEYS) -> DataFrame:
+    """A stored table of short rows, to be broadcast if it has few enough of them, else to be shuffled and hashed."""
+    return F.broadcast(keys) if keys.count() <= most else keys.hint("shuffle_hash")
+
+
 def row_key(*columns: Column) -> Column:
     """64-bit key of a row. Rows that agree in these columns share it, and every operator here gives such rows
     the same result, so nothing depends on doc_id being unique or present."""

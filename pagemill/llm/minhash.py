@@ -7,9 +7,10 @@ values for all coordinates are one slice of it.
 Documents with equal shingle sets form a class and are handled as one. Classes that share a band of their signatures
 are candidates. No bucket is expanded into all its pairs: every class is paired with its bucket's leaders only, the least
 and the greatest. Links that the full sets confirm merge components. What is left are buckets with classes of several
-components; there, classes outside the first leader's component are compared with the rest, in blocks, and the pairs that
-may be similar are confirmed too. So no two classes that share a bucket are left uncompared but those that are known to
-be in one component.
+components; there, classes outside the first leader's component are compared with the rest, and the pairs that may be
+similar are confirmed too. For that, a bucket is cut by the sizes of sets, as only those of similar sizes can be links, and
+then into blocks: a task compares two blocks, whatever the size of the bucket. So no two classes that share a bucket are
+left uncompared but those that are known to be in one component, or differ too much in size.
 
 Before texts are fetched, a pair must pass two filters: its signatures agree often enough, and a bitmap of either set
 doesn't rule the similarity out (a bit that only one side has set is an element that the other lacks).
@@ -17,13 +18,14 @@ doesn't rule the similarity out (a bit that only one side has set is an element
 
 import functools
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import WORD, durable, mixed, offsets, row_key, run_hashes, text_batches
+from pagemill.llm.common import WORD, beside, durable, mixed, offsets, row_key, run_hashes, text_batches
 
 #: Bands and rows: a pair of similarity 0.8 misses all bands with probability (1 - 0.8**4)**28 < 4e-7.
 BANDS, ROWS = 28, 4
@@ -31,8 +33,8 @@ COORDINATES = BANDS * ROWS
 SLOTS = 1 << 20
 #: Pairs whose signatures agree in less than this share are no candidates: at 0.8 that is 4.7 standard deviations off.
 MAYBE = 0.62
-#: Classes of one bucket that a task compares with those outside the leader's component.
-BLOCK = 500
+#: Classes of a block; a task compares two blocks of a bucket.
+BLOCK = 2000
 #: Bits of the bitmap of a set.
 BITS = 4096
 #: Bytes of a sketch: the low 16 bits of each coordinate, then the bitmap.
@@ -208,20 +210,18 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
 
 def _across(percent: int):
-    """Pairs that may be links between classes outside and inside the leader's component, and among the former.
-
-    Rows come sorted by (bucket, block). A group has a block of the classes of the leader's component; the ones outside
-    come to every block, and meet each other in block 0.
-    """
+    """Pairs that may be links of two blocks of a stratum of a bucket, at least one of each pair being outside the leader's
+    component. Rows come sorted by (bucket, stratum, cell); a cell is a pair of blocks, and one of a block with itself."""
 
     def pairs(group: pa.Table):
-        outside = group.column("outside").to_numpy()
-        first = group.column("block")[0].as_py() == 0
+        cell, outside, above, own = (group.column(c).to_numpy() for c in ("cell", "outside", "above", "own"))
+        alone = cell[0] >> 32 == cell[0] & 0xFFFFFFFF
         sign, bits = _sketches(group.column("sketch"))
         node, comp, n = (group.column(c).to_numpy() for c in ("node", "component", "n"))
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in np.flatnonzero(outside):
-            j = np.flatnonzero((comp != comp[i]) & (~outside | (first & (node > node[i]))))
+            other = (comp != comp[i]) & (~outside | (node > node[i])) & ~(above & above[i])
+            j = np.flatnonzero(other if alone else other & (own != own[i]))
             j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
             j = j[may_link(sign[i : i + 1], bits[i : i + 1], n[i], sign[j], bits[j], n[j], percent)]
             a.append(np.minimum(node[i], node[j]))
@@ -233,7 +233,7 @@ def _across(percent: int):
         for batch in batches:
             t = pa.Table.from_batches([batch])
             t = t if held is None else pa.concat_tables([held, t])
-            key = np.stack([t.column("bucket").to_numpy(), t.column("block").to_numpy()])
+            key = np.stack([t.column(c).to_numpy() for c in ("bucket", "stratum", "cell")])
             cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
             for lo, hi in zip([0, *cut[:-1]], cut, strict=True) if len(cut) else ():
                 yield pairs(t.slice(lo, hi - lo))
@@ -254,10 +254,10 @@ class _Corpus:
         )
         self.classes = durable(by_class.select("class", F.xxhash64("class").alias("node"), "first.*", "n", "sketch"))
         rows = self.classes.select("node", "n", "sketch").mapInArrow(_bands, "node long, n long, bucket long")
-        bucket = Window.partitionBy("bucket")
         member = F.struct("node", "n")
-        shared = rows.withColumns({"least": F.min(member).over(bucket), "greatest": F.max(member).over(bucket)})
-        self.buckets = durable(shared.filter("least.node <> greatest.node"))
+        leaders = rows.groupBy("bucket").agg(F.min(member).alias("least"), F.max(member).alias("greatest"))
+        shared = rows.join(leaders.filter("least.node <> greatest.node"), "bucket")
+        self.buckets = durable(shared)
 
     def leader_pairs(self) -> DataFrame:
         """Distinct pairs of classes with the leaders of their buckets."""
@@ -271,35 +271,49 @@ class _Corpus:
         return met.mapInArrow(_likely(self.percent), "a long, b long")
 
     def residual_pairs(self, parts: DataFrame) -> DataFrame:
-        """Pairs that may be links between classes of different components that share a bucket of three or more."""
+        """Pairs that may be links between classes of different components that share a bucket.
+
+        Strata are of sizes of sets within percent of each other. A stratum meets itself and the one above it, so a class
+        is in its own group, and above in that of the stratum below.
+        """
         part = parts.select("node", "component")
-        b = self.buckets.select("bucket", "node", F.col("least.node").alias("leader")).join(part, "node", "left")
-        b = b.withColumn("component", F.coalesce("component", "node"))
-        at = Window.partitionBy("bucket")
-        lead = F.max(F.when(F.col("node") == F.col("leader"), F.col("component"))).over(at)
-        b = b.withColumns({"size": F.count(F.lit(1)).over(at), "lead": lead})
-        b = b.withColumn("outside", F.col("component") != F.col("lead"))
-        b = b.withColumn("n_outside", F.count_if("outside").over(at)).filter("size > 2 and n_outside > 0")
-        b = b.join(self.classes.select("node", "n", "sketch"), "node")
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        own = F.array((F.pmod(F.xxhash64("node"), blocks)).cast("int"))
-        block = F.explode(F.when(F.col("outside"), F.sequence(F.lit(0), blocks - 1)).otherwise(own))
-        b = b.select("bucket", block.alias("block"), "outside", "component", "node", "n", "sketch")
-        b = b.repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+        lead = part.select(F.col("node").alias("leader"), F.col("component").alias("lead"))
+        b = self.buckets.select("bucket", "node", "n", F.col("least.node").alias("leader")).join(part, "node", "left")
+        b = b.join(lead, "leader", "left").withColumn("component", F.coalesce("component", "node"))
+        b = b.withColumn("outside", F.col("component") != F.coalesce("lead", "leader"))
+        stratum = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent_share(self.percent)))).cast("int")
+        roles = F.explode(F.array(*(F.struct((stratum - k).alias("stratum"), F.lit(k == 1).alias("above")) for k in (0, 1))))
+        b = b.withColumn("role", roles).select("bucket", "role.*", "node", "component", "outside")
+        sizes = b.groupBy("bucket", "stratum").agg(
+            F.count(F.lit(1)).alias("size"), F.count_if("outside").alias("n_outside"), F.count_if(~F.col("above")).alias("n_own")
+        )
+        b = b.join(sizes.filter("size > 1 and n_outside > 0 and n_own > 0"), ["bucket", "stratum"])
+        blocks = F.ceil(F.col("size") / BLOCK).cast("long")
+        b = b.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        cell = F.shiftleft(F.least("own", "other"), 32).bitwiseOR(F.greatest("own", "other"))
+        b = b.withColumn("cell", cell).join(self.classes.select("node", "n", "sketch"), "node")
+        b = b.select("bucket", "stratum", "cell", "own", "above", "outside", "component", "node", "n", "sketch")
+        b = b.repartition("bucket", "stratum", "cell").sortWithinPartitions("bucket", "stratum", "cell")
         return b.mapInArrow(_across(self.percent), "a long, b long").distinct()
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links. Each needed text is fetched once, then sent to its pairs."""
+        """The pairs (a, b) that are links. Each needed text is fetched once, then sent to its pairs; the others stay where
+        they are if the needed keys are few enough to be broadcast."""
         pairs = durable(pairs)
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        needed = self.classes.select("node", "key").join(ends, "node", "left_semi")
+        needed = durable(self.classes.select("node", "key").join(ends, "node", "left_semi"))
         keyed = self.docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-        texts = durable(keyed.join(needed.hint("shuffle_hash"), "key").select("node", "text").dropDuplicates(["node"]))
+        texts = keyed.join(beside(needed), "key").select("node", "text").dropDuplicates(["node"])
         a, b = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
         met = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
         return durable(met.mapInArrow(_verify(self.words, self.percent), "a long, b long"))
 
 
+def percent_share(percent: int) -> float:
+    """The share below which sizes of sets belong to different strata; all are in one for small percentages."""
+    return min(max(percent, 1), 99) / 100 * (1 - 1e-9)
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, key, n_shingles, component_id and kept for each row of docs (doc_id, text).
 
@@ -339,7 +353,7 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each component, the one of the least id; same columns."""
     gone = near_duplicates(docs, words, percent).filter(~F.col("kept")).select(F.col("key").alias("__key")).distinct()
     keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(gone.hint("shuffle_hash"), "__key", "left_anti").select(*docs.columns)
+    return keyed.join(beside(durable(gone)), "__key", "left_anti").select(*docs.columns)
 
 
 def near_duplicates_sql(words: int, percent: int, documents: str = "documents") -> str:

@@ -84,3 +84,21 @@ def test_nulls_repeats_and_empty(spark):
     assert got == [(0, 2, None, True), (5, 2, 5, True), (5, 2, 5, True), (6, 2, 5, False), (7, 0, 7, True)]
     assert M.near_duplicates(docs.limit(0)).collect() == []
     assert sorted(r.doc_id or 0 for r in M.keep_one(docs, 2).collect()) == [0, 5, 5, 7]
+
+
+def test_long_text(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(9000)}" for _ in range(400_000)]
+    near = [w if rng.random() > 0.01 else "x" for w in base]
+    docs = spark.createDataFrame([(4, " ".join(base)), (9, " ".join(near)), (11, " ".join(base[:300_000]))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in M.near_duplicates(docs, 2).collect()) == [(4, 4), (9, 4), (11, 11)]
+
+
+def test_similar_forms_that_are_no_links(spark, monkeypatch):
+    """Texts that share two thirds of their shingles fall into common buckets without being links; some are links."""
+    monkeypatch.setattr(M, "BLOCK", 5)
+    rng = random.Random(6)
+    form = [f"f{i}" for i in range(200)]
+    texts = [" ".join([*form, *(f"v{rng.randrange(10**6)}" for _ in range(45 + k % 9))]) for k in range(60)]
+    texts += [t + " end" for t in texts[::7]]
+    check(spark, 2, texts)
