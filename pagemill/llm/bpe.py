@@ -21,7 +21,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import ranges, text_batches
+from pagemill.llm.common import data, offsets, ranges, text_batches
 
 # Classes of code points.
 LETTER, NUMBER, OTHER, SPACE = range(4)
@@ -30,6 +30,8 @@ LETTER, NUMBER, OTHER, SPACE = range(4)
 L, N, O, RUN, BLANK, LAST, APOS1, APOS2 = range(8)
 # States: no open token, open runs of each kind, a blank waiting for its word, letters that a contraction still takes.
 NONE, IN_L, IN_N, IN_O, IN_SPACE, WAITING, NEED1, NEED2 = range(8)
+#: The pattern that the scanner stands for.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The letters that follow the apostrophe in a contraction.
 ONE_LETTER, TWO_LETTERS = ("s", "t", "m", "d"), ("re", "ve", "ll")
 #: Characters composed one by one within a row of the scan.
@@ -326,12 +328,21 @@ def valid_text(column: str = "text"):
     return F.when(F.is_valid_utf8(column), F.col(column)).otherwise(F.make_valid_utf8(column))
 
 
-def decoded_bytes(ids: np.ndarray, counts: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of concatenated id lists, and the number of bytes of each list."""
+def decoded_bytes(ids: np.ndarray, counts: np.ndarray, path: str, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of concatenated id lists, and the number of bytes of each list. With ends, the end offsets of the tokens in
+    their texts, each token's bytes are put where its offset says."""
     table, at = token_table(path)
     lengths = np.diff(at)[ids]
-    size = np.concatenate([[0], np.cumsum(lengths)])
-    return table[ranges(at[ids], lengths)], np.diff(size[np.concatenate([[0], np.cumsum(counts)])])
+    cut = np.concatenate([[0], np.cumsum(counts)])
+    if ends is None:
+        ends = np.cumsum(lengths) - np.repeat(np.concatenate([[0], np.cumsum(lengths)])[cut[:-1]], counts)
+    ends = ends.astype(np.int64)
+    size = np.zeros(len(counts), np.int64)
+    size[counts > 0] = ends[cut[1:][counts > 0] - 1]
+    first = np.repeat(np.cumsum(size) - size, counts) + ends - lengths
+    out = np.zeros(int(size.sum()), np.uint8)
+    out[ranges(first, lengths)] = table[ranges(at[ids], lengths)]
+    return out, size
 
 
 def _same(text: np.ndarray, at: np.ndarray, back: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -346,24 +357,26 @@ def encode(
 ) -> DataFrame:
     """keep, ids and (with_offsets) ends: token ids and end byte offsets as little-endian 32-bit integers.
 
-    With verify, round_trip says whether decoding gave the text back. ranks: path of a rank file that every executor can read. Null and empty texts give no ids. Every row is encoded
-    for itself, so ties and repeated rows don't matter; columns of docs other than keep are not read.
+    With verify, round_trip says whether decoding, by the offsets, gave the text back. ranks: path of a rank file that
+    every executor can read. Null and empty texts give no ids. Every row is encoded for itself, so ties and repeated rows
+    don't matter; columns of docs other than keep are not read.
     """
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches):
         encoder = _encoder(ranks)
-        lengths = np.diff(token_table(ranks)[1]) if with_offsets else None
+        lengths = np.diff(token_table(ranks)[1])
         for batch in batches:
             for part, text, at in text_batches(batch, "__text", SLICE):
                 ids, counts = encoder.encode(text, at)
                 out = [part.column(i) for i in range(len(keep))] + [_binary(ids.astype("<u4"), counts)]
+                so_far = np.concatenate([[0], np.cumsum(lengths[ids])])
+                first = np.concatenate([[0], np.cumsum(counts)])[:-1]
+                ends = (so_far[1:] - np.repeat(so_far[first], counts)).astype("<u4")
                 if with_offsets:
-                    ends = np.concatenate([[0], np.cumsum(lengths[ids])])
-                    first = np.concatenate([[0], np.cumsum(counts)])[:-1]
-                    out.append(_binary((ends[1:] - np.repeat(ends[first], counts)).astype("<u4"), counts))
+                    out.append(_binary(ends, counts))
                 if verify:
-                    out.append(pa.array(_same(text, at, *decoded_bytes(ids, counts, ranks))))
+                    out.append(pa.array(_same(text, at, *decoded_bytes(ids, counts, ranks, ends))))
                 yield pa.RecordBatch.from_arrays(out, names=[*keep, "ids", *["ends"] * with_offsets, *["round_trip"] * verify])
 
     more = (", ends binary" if with_offsets else "") + (", round_trip boolean" if verify else "")
@@ -371,16 +384,40 @@ def encode(
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
-    """encoded with decoded: the bytes that the ids stand for; null ids are none."""
+    """encoded with decoded: the bytes that the ids stand for, each token's where its offset in ends says, or one after the
+    other where there is no column ends; null ids are none."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-
     names = [*encoded.columns, "decoded"]
 
     def run(batches):
         for batch in batches:
             for part, raw, cut in text_batches(batch, "ids", SLICE):
-                ids = np.frombuffer(raw.tobytes(), "<u4")
-                decoded = _binary(*decoded_bytes(ids, np.diff(cut // 4), ranks))
+                ids, ends = np.frombuffer(raw.tobytes(), "<u4"), None
+                if "ends" in names[:-1]:
+                    column = part.column(names.index("ends"))
+                    at = offsets(column)
+                    ends = np.frombuffer(data(column)[at[0] : at[-1]].tobytes(), "<u4")
+                decoded = _binary(*decoded_bytes(ids, np.diff(cut // 4), ranks, ends))
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=names)
 
     return encoded.mapInArrow(run, f"{fields}, decoded binary")
+
+
+def tokens_between(encoded: DataFrame, begin: int, end: int) -> DataFrame:
+    """encoded with part_ids and part_begin: the tokens that cover bytes begin to end of each text, found by their offsets,
+    and where the first of them begins. Rows without such tokens have none."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
+    names = [*encoded.columns, "part_ids", "part_begin"]
+
+    def run(batches):
+        for batch in batches:
+            ids, ends = (batch.column(names.index(c)).to_pylist() for c in ("ids", "ends"))
+            parts, begins = [], []
+            for i, e in zip(ids, ends, strict=True):
+                at = np.frombuffer(e or b"", "<u4")
+                first, last = np.searchsorted(at, begin, "right"), np.searchsorted(at, end, "left") + 1
+                parts.append((i or b"")[4 * first : 4 * last])
+                begins.append(int(at[first - 1]) if first else 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.binary()), pa.array(begins, pa.int64())], names=names)
+
+    return encoded.mapInArrow(run, f"{fields}, part_ids binary, part_begin long")

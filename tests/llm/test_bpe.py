@@ -60,6 +60,22 @@ def test_encode_decode_rows(spark, reference):
         ends = np.frombuffer(r.ends, "<u4")
         assert len(ends) == len(ids) and (not len(ends) or ends[-1] == len(text.encode()))
     assert bpe.encode(docs.limit(0), RANKS).collect() == []
+    plain = bpe.decode(bpe.encode(docs, RANKS, with_offsets=False), RANKS).collect()
+    assert sorted(bytes(r.decoded) for r in plain) == sorted(bytes(r.decoded) for r in out)
+
+
+def test_offsets_find_tokens(spark, reference):
+    text = "héllo wörld, 漢字 and some more words"
+    encoded = bpe.encode(spark.createDataFrame([(1, text), (2, "x"), (3, None)], "doc_id long, text string"), RANKS)
+    rows = {r.doc_id: r for r in bpe.tokens_between(encoded, 9, 20).collect()}
+    part = reference.decode_bytes(np.frombuffer(rows[1].part_ids, "<u4").tolist())
+    raw, begin = text.encode(), rows[1].part_begin
+    assert begin <= 9 and raw[begin : begin + len(part)] == part and begin + len(part) >= 20 and len(part) < 30
+    assert bytes(rows[2].part_ids) == bytes(rows[3].part_ids) == b""
+
+
+def test_scanner_is_built_for_the_pattern():
+    assert public_tokenizers.PATTERN == bpe.PATTERN
 
 
 def test_long_piece(reference):
