@@ -14,7 +14,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.bpe import _binary
@@ -385,13 +385,40 @@ def decode(media: DataFrame) -> DataFrame:
     return media.mapInArrow(run, f"{fields}, sound boolean, pcm binary, feature string")
 
 
-def pcm_blocks(decoded: DataFrame, blocks: int = 64) -> DataFrame:
-    """One row for each run of blocks: the columns of decoded but media and pcm, sample_offset and samples.
+PCM_BLOCKS = "array<struct<sample_offset:bigint,samples:binary>>"
 
-    A reader seeks by sample_offset; the runs of a stream in that order are its samples.
+
+def decode_blocks(media: DataFrame, blocks: int = 64) -> DataFrame:
+    """media with sound, pcm_blocks and feature: the samples as an array of (sample_offset, samples), of so many blocks each.
+
+    A reader seeks by sample_offset. The array is null for damaged and null media.
     """
-    span = blocks * BLOCK
-    runs = F.explode(F.sequence(F.lit(0), F.greatest(F.octet_length("pcm") - 1, F.lit(0)), F.lit(span)))
-    rows = decoded.filter("pcm is not null").withColumn("sample_offset", runs)
-    rows = rows.withColumn("samples", F.substring("pcm", F.col("sample_offset") + 1, F.lit(span)))
-    return rows.drop("media", "pcm")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema)
+    names, span = [*media.columns, "sound", "pcm_blocks", "feature"], blocks * BLOCK
+
+    def run(batches):
+        for batch in batches:
+            for part, raw, at in text_batches(batch, "media", SLICE):
+                payload, size, sound = decode_many(raw, at)
+                n = -(-size // span)
+                offset = ranges(np.zeros(len(n), np.int64), n) * span
+                own = np.minimum(np.repeat(size, n) - offset, span)
+                samples = pa.StructArray.from_arrays([pa.array(offset), _binary(payload, own)], names=["sample_offset", "samples"])
+                cut = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(cut, samples, mask=pa.array(~sound))
+                columns = [*part.columns, pa.array(sound), lists, pa.array(features(payload, size), pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return media.mapInArrow(run, f"{fields}, sound boolean, pcm_blocks {PCM_BLOCKS}, feature string")
+
+
+def joined_blocks(blocks: Column) -> Column:
+    """The samples of blocks in order of their offsets, as one binary. Bytes are joined as text, which Spark doesn't check."""
+    in_order = F.array_sort(blocks, lambda a, b: F.when(a["sample_offset"] < b["sample_offset"], -1).otherwise(1))
+    return F.array_join(F.transform(in_order, lambda b: b["samples"].cast("string")), "").cast("binary")
+
+
+def pcm_blocks(decoded: DataFrame) -> DataFrame:
+    """One row for each block: the columns of decode_blocks but media and pcm_blocks, and sample_offset and samples."""
+    kept = [c for c in decoded.columns if c not in ("media", "pcm_blocks")]
+    return decoded.select(*kept, F.inline("pcm_blocks"))

@@ -31,7 +31,9 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataFrame:
     ranks = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, with_offsets=False)
+    if public_tokenizers.PATTERN != bpe.PATTERN:
+        raise ValueError("the scanner of pieces is built for another pattern")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks)
     return bpe.decode(encoded, ranks).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -54,7 +56,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = flac.decode(flac.encode(table(spark, sf_dir, "documents")))
+    read = flac.decode_blocks(flac.encode(table(spark, sf_dir, "documents")))
+    read = read.withColumn("pcm", flac.joined_blocks(F.col("pcm_blocks")))
     return read.select(
         "doc_id",
         "n_bytes",

@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from pagemill.llm import flac
 
 
@@ -59,9 +61,16 @@ def test_rows(spark):
         text = {None: "abc " * 5000, 1: "", 2: "", 3: "x"}[r.doc_id].encode()
         full = max(1, -(-len(text) // 192)) * 192
         assert r.sound and bytes(r.pcm) == text.ljust(full) and r.n_bytes == len(text)
-    blocks = flac.pcm_blocks(flac.decode(flac.encode(docs)), 2).filter("doc_id is null").collect()
-    blocks.sort(key=lambda r: r.sample_offset)
-    assert b"".join(bytes(r.samples) for r in blocks).rstrip() == ("abc " * 5000).rstrip().encode()
+    stored = flac.decode_blocks(flac.encode(docs), 2).withColumn("pcm", flac.joined_blocks(F.col("pcm_blocks")))
+    assert sorted((r.doc_id or 0, bytes(r.pcm), r.feature) for r in stored.collect()) == sorted((r.doc_id or 0, bytes(r.pcm), r.feature) for r in out)
+    mixed = stored.select("doc_id", flac.joined_blocks(F.reverse("pcm_blocks")).alias("again"), "pcm").filter("again <> pcm")
+    assert mixed.collect() == []
+    blocks = flac.pcm_blocks(stored).filter("doc_id is null").collect()
+    whole = ("abc " * 5000).encode().ljust(20160)
+    assert len(blocks) == -(-20160 // 384)
+    assert all(bytes(r.samples) == whole[r.sample_offset : r.sample_offset + 384] for r in blocks)
+    assert flac.decode_blocks(flac.encode(docs.limit(0))).collect() == []
     assert flac.decode(flac.encode(docs.limit(0))).collect() == []
     broken = spark.createDataFrame([(1, b"fLaC"), (2, None)], "doc_id long, media binary")
     assert [(r.sound, r.pcm) for r in flac.decode(broken).collect()] == [(False, None)] * 2
+    assert [(r.sound, r.pcm_blocks) for r in flac.decode_blocks(broken).collect()] == [(False, None)] * 2
