@@ -10,6 +10,7 @@ backslash and a letter, and back.
 
 import hashlib
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,58 +29,102 @@ PARSED = 16 << 20
 class Layout:
     """A layout: the field paths of its records, and its turns.
 
-    paths: all leaf and container paths, in any order, as ``a.b`` and ``a[].b``. turns: (role, path) for each turn of
-    records with fixed turns; or one (role path, text path) below an array, given by array.
+    paths: of all leaves as ``a.b`` and ``a.[].b``, and of all arrays as ``a[]``, in any order. optional: paths that records
+    of the layout may have besides. turns: (role, path) for each turn of records with fixed turns; or one (role path,
+    text path) below an array, given by array.
     """
 
     name: str
     paths: tuple[str, ...]
     turns: tuple[tuple[str, str], ...]
     array: str | None = None
+    optional: tuple[str, ...] = ()
 
-    def fingerprint(self) -> Column:
-        return F.lit(_hash_paths(self.paths))
+    def fits(self, print_: Column) -> Column:
+        """Whether a fingerprint is that of the layout's paths with some of the optional ones."""
+        chosen = (c for k in range(len(self.optional) + 1) for c in combinations(self.optional, k))
+        return print_.isin([_hash_paths(self.paths + c) for c in chosen])
 
 
 def _hash_paths(paths: tuple[str, ...]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
 
 
-#: Known layouts. A record with another set of paths has no turns.
+#: Paths that any layout may have besides its own.
+EXTRAS = ("id", "source")
+_OF_TURNS = lambda array: tuple(f"{array}.[].{k}" for k in ("weight", "name"))
+#: Known layouts. A record with another set of paths is rejected.
 LAYOUTS = (
-    Layout("prompt", ("completion", "prompt"), (("user", "prompt"), ("assistant", "completion"))),
+    Layout("prompt", ("completion", "prompt"), (("user", "prompt"), ("assistant", "completion")), optional=EXTRAS),
     Layout(
         "instruction",
         ("input", "instruction", "output"),
         (("system", "instruction"), ("user", "input"), ("assistant", "output")),
+        optional=EXTRAS,
+    ),
+    Layout(
+        "messages",
+        ("messages[]", "messages.[].content", "messages.[].role"),
+        (("role", "content"),),
+        "messages",
+        EXTRAS + _OF_TURNS("messages"),
+    ),
+    Layout("empty_messages", ("messages[]",), (), None, EXTRAS),
+    Layout(
+        "shared",
+        ("conversations[]", "conversations.[].from", "conversations.[].value"),
+        (("from", "value"),),
+        "conversations",
+        EXTRAS + _OF_TURNS("conversations"),
     ),
-    Layout("messages", ("messages", "messages[].content", "messages[].role"), (("role", "content"),), "messages"),
-    Layout("empty_messages", ("messages",), (), None),
-    Layout("shared", ("conversations", "conversations[].from", "conversations[].value"), (("from", "value"),), "conversations"),
 )
 
 
+def field_paths(record: Column) -> Column:
+    """Sorted paths of a JSON variant's leaves and arrays, at any depth.
+
+    The variant's schema, as OBJECT<a: STRING, m: ARRAY<OBJECT<b: VOID>>>, is read token by token with the path that is open. A
+    leaf's type doesn't matter, but an array of nothing or of nulls has no leaf.
+    """
+    tokens = F.regexp_extract_all(F.schema_of_variant(record), F.lit(r"(OBJECT<|ARRAY<|>|[^<>,: ][^<>,:]*: |[A-Z][A-Z0-9_]*(?:\([0-9]+,[0-9]+\))?)"), F.lit(1))
+    texts = F.array().cast("array<string>")
+
+    def read(state: Column, token: Column) -> Column:
+        open_, paths = state["open"], state["paths"]
+        but_last = F.slice(open_, F.lit(1), F.greatest(F.size(open_) - 1, F.lit(0)))
+        path = F.array_join(open_, ".")
+        is_name, is_array, is_object = token.endswith(": "), token == "ARRAY<", token == "OBJECT<"
+        now_open = (
+            F.when(is_array, F.concat(open_, F.array(F.lit("[]"))))
+            .when(is_object, F.concat(open_, F.array(F.lit(""))))
+            .when(is_name, F.concat(but_last, F.array(F.substring(token, F.lit(1), F.length(token) - 2))))
+            .when(token == ">", but_last)
+            .otherwise(open_)
+        )
+        in_array = F.try_element_at(open_, F.lit(-1)) == "[]"
+        leaf = ~(is_name | is_object | (token == ">") | ((token == "VOID") & F.coalesce(in_array, F.lit(False))))
+        found = F.when(is_array, F.concat(path, F.lit("[]"))).when(leaf, path)
+        return F.struct(now_open.alias("open"), F.when(found.isNotNull(), F.concat(paths, F.array(found))).otherwise(paths).alias("paths"))
+
+    end = F.aggregate(tokens, F.struct(texts.alias("open"), texts.alias("paths")), read)
+    return F.array_sort(F.array_distinct(end["paths"]))
+
+
 def fingerprint(record: Column) -> Column:
-    """Hash of the nested field paths of a JSON variant with up to one level of arrays of objects."""
-    schema = F.schema_of_variant(record)
-    # OBJECT<a: STRING, m: ARRAY<OBJECT<b: STRING, c: VOID>>>: leaf types become one letter.
-    bare = F.regexp_replace(schema, r"(: )(STRING|VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\([0-9,]*\)|VARIANT)(?=[,>])", "")
-    bare = F.regexp_replace(bare, r"ARRAY<(STRING|VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\([0-9,]*\)|VARIANT)>", "ARRAY<>")
-    body = F.regexp_extract(bare, r"(?s)^OBJECT<(.*)>$", 1)
-    fields = F.regexp_extract_all(body, F.lit(r"([^,:<> ][^,:<>]*(?:: ARRAY<(?:OBJECT<[^<>]*>)?>)?)"), F.lit(1))
+    """Hash of the nested field paths of a JSON variant."""
+    return F.sha2(F.concat_ws("\n", field_paths(record)), 256)
 
-    def paths(field: Column) -> Column:
-        name = F.regexp_extract(field, r"(?s)^([^:]*)", 1)
-        inner = F.regexp_extract(field, r"(?s)OBJECT<([^<>]*)>", 1)
-        below = F.filter(F.split(inner, ", "), lambda p: p != "")
-        return F.concat(F.array(name), F.transform(below, lambda p: F.concat(name, F.lit("[]."), p)))
 
-    every = F.array_sort(F.array_distinct(F.flatten(F.transform(fields, paths))))
-    return F.sha2(F.concat_ws("\n", every), 256)
+def layout_of(print_: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """Name of the layout that a fingerprint picks, null if none does."""
+    out = F.lit(None).cast("string")
+    for layout in layouts:
+        out = F.when(layout.fits(print_), layout.name).otherwise(out)
+    return out
 
 
-def canonical_turns(record: Column, print_: Column, layouts: tuple[Layout, ...] = LAYOUTS, typed: bool = False) -> Column:
-    """Turns of a variant by the mapping that its fingerprint picks; an empty array if none does.
+def canonical_turns(record: Column, layout_name: Column, layouts: tuple[Layout, ...] = LAYOUTS, typed: bool = False) -> Column:
+    """Turns of a variant by the mapping of its layout; an empty array if it has none.
 
     With typed, record is a struct that has the fields of all layouts with turns.
     """
@@ -97,7 +142,7 @@ def canonical_turns(record: Column, print_: Column, layouts: tuple[Layout, ...]
                     for role, path in layout.turns
                 )
             ).cast(TURN)
-        out = F.when(print_ == layout.fingerprint(), turns).otherwise(out)
+        out = F.when(layout_name == layout.name, turns).otherwise(out)
     return F.coalesce(out, F.array().cast(TURN))
 
 
@@ -164,26 +209,39 @@ def loss_spans(formatted: Column) -> Column:
 
 
 def format_records(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """records with fingerprint, turns and formatted, from a JSON text column raw.
+    """records with fingerprint, layout, turns and formatted, from a JSON text column raw.
 
-    Null, malformed and unknown records have no turns and format to the empty text. A record of more than PARSED bytes
-    that can't be parsed may be beyond the parser's limits and is an error. Where a struct column __record of
-    conversation_records is not null, turns come from it, and raw has only the layout. Every row is formatted for itself:
-    ties and repeated rows don't matter. Columns of records named like a result column are replaced.
+    Null, malformed and unknown records have no layout and no turns and format to the empty text; rejected gives them. A
+    record of more than PARSED bytes that can't be parsed may be beyond the parser's limits and is an error. Where a
+    struct column __record of conversation_records is not null, turns come from it, and raw has only the layout. Every
+    row is formatted for itself: ties and repeated rows don't matter. Columns of records named like a result column are
+    replaced.
     """
-    kept = [c for c in records.columns if c.lower() not in {"fingerprint", "turns", "formatted", "__v"}]
+    kept = [c for c in records.columns if c.lower() not in {"fingerprint", "layout", "turns", "formatted", "__v"}]
     v = F.try_parse_json("raw")
     lost = v.isNull() & (F.octet_length("raw") > PARSED)
     r = records.select(*kept, F.when(lost, F.raise_error("a record is too large to be parsed")).otherwise(v).alias("__v"))
     r = r.withColumn("fingerprint", fingerprint(F.col("__v")))
-    turns = canonical_turns(F.col("__v"), F.col("fingerprint"), layouts)
+    r = r.withColumn("layout", layout_of(F.col("fingerprint"), layouts))
+    turns = canonical_turns(F.col("__v"), F.col("layout"), layouts)
     if "__record" in kept:
-        typed = canonical_turns(F.col("__record"), F.col("fingerprint"), LAYOUTS, typed=True)
+        typed = canonical_turns(F.col("__record"), F.col("layout"), LAYOUTS, typed=True)
         turns = F.when(F.col("__record").isNull(), turns).otherwise(typed)
     r = r.withColumn("turns", turns)
     return r.withColumn("formatted", render(F.col("turns"))).drop("__v", "__record")
 
 
+def rejected(formatted: DataFrame) -> DataFrame:
+    """The rows of format_records that no layout fits: null and malformed records, and unknown fingerprints."""
+    return formatted.filter("layout is null").drop("turns", "formatted")
+
+
+def unknown_layouts(formatted: DataFrame) -> DataFrame:
+    """(fingerprint, paths, n): the field paths of what was rejected, and how many records have them; null if malformed."""
+    r = rejected(formatted).select("fingerprint", field_paths(F.try_parse_json("raw")).alias("paths"))
+    return r.groupBy("fingerprint").agg(F.max("paths").alias("paths"), F.count(F.lit(1)).alias("n"))
+
+
 def digest(formatted: DataFrame) -> DataFrame:
     """conv_id and digests of what is read back from formatted text: turns, text under the loss mask, length."""
     r = formatted.select("conv_id", "formatted", parse(F.col("formatted")).alias("p"))

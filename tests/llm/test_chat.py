@@ -30,6 +30,30 @@ def test_unknown_and_broken_records(spark):
     assert chat.format_records(raw(spark, []).limit(0)).collect() == []
 
 
+def test_optional_fields_and_rejects(spark):
+    rows = [
+        (1, '{"id": 5, "messages": [{"role": "user", "content": "a", "weight": 1}, {"role": "assistant", "content": "b"}]}'),
+        (2, '{"source": null, "prompt": "a", "completion": "b", "id": "x"}'),
+        (3, '{"prompt": "a", "completion": ["b"]}'),
+        (4, '{"messages": [{"role": "user", "content": "a"}, "stray"]}'),
+        (5, '{"messages": [{"role": "user", "content": {"parts": [{"text": "a"}]}}]}'),
+        (6, '{"messages": ["a"]}'),
+        (7, '{"messages": [null]}'),
+        (8, "{"),
+    ]
+    out = chat.format_records(raw(spark, rows))
+    assert {r.conv_id: r.layout for r in out.collect()} == {1: "messages", 2: "prompt", 7: "empty_messages", **dict.fromkeys((3, 4, 5, 6, 8))}
+    assert [[tuple(t) for t in r.turns] for r in out.filter("conv_id < 3").orderBy("conv_id").collect()] == [[("user", "a"), ("assistant", "b")]] * 2
+    assert sorted(r.conv_id for r in chat.rejected(out).collect()) == [3, 4, 5, 6, 8]
+    paths = sorted((tuple(r.paths or ()), r.n) for r in chat.unknown_layouts(out).collect())
+    assert paths == [
+        ((), 1),
+        (("completion.[]", "completion[]", "prompt"), 1),
+        (("messages.[]", "messages[]"), 2),
+        (("messages.[].content.parts.[].text", "messages.[].content.parts[]", "messages.[].role", "messages[]"), 1),
+    ]
+
+
 def test_fingerprint_ignores_order_and_types(spark):
     rows = [(1, '{"a": 1, "m": [{"x": null}]}'), (2, '{"m": [{"x": "s"}], "a": "t"}'), (3, '{"m": [{"y": "s"}], "a": "t"}')]
     f = [r.fingerprint for r in chat.format_records(raw(spark, rows)).orderBy("conv_id").collect()]
