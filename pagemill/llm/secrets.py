@@ -2,7 +2,7 @@
 
 Base spans are certain by themselves: assignments to password-like names, access identifiers and long hex runs. Weak
 candidates are not: names of accounts, random-looking strings, endpoints. They are reported only where the parts that
-complete a credential lie within SCOPE code points. That is an interval join of the parts of each text, made as an
+complete a credential start within SCOPE code points of their own start. That is an interval join of the parts of each text, made as an
 equality join on cells of SCOPE code points: a cell's parts of one kind are first reduced to their least and greatest
 start, which decide for every candidate in it and in the two cells beside it. The work is linear in the parts.
 """
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import durable, row_key, runs, text_batches
+from pagemill.llm.common import MOST_KEYS, durable, row_key, runs, text_batches
 
 #: Kinds of spans in their order; the first three are the base.
 KINDS = ("assign", "access", "hex", "id", "secret", "endpoint")
@@ -227,13 +227,17 @@ def redact_text(text: str, spans: list[tuple[int, int]]) -> str:
 def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """docs with secrets masked in text: base spans and linked ids and secrets; endpoints stay. Same columns.
 
-    Only rows that have such a span meet their text again and go through Python; the others pass as they are.
+    Only rows that have such a span go through Python; the others pass as they are. Texts stay where they are if all
+    spans are few enough to be broadcast; else rows are shuffled by key.
     """
     hidden = F.filter("spans", lambda s: s["kind"] != KINDS.index("endpoint"))
     found = find_secrets(docs, scope).select("key", hidden.alias("__spans")).filter(F.size("__spans") > 0)
     found = durable(found.dropDuplicates(["key"]).withColumnRenamed("key", "__key"))
+    n_spans = found.agg(F.sum(F.size("__spans") + 1)).first()[0] or 0
+    found = F.broadcast(found) if n_spans <= MOST_KEYS else found.hint("shuffle_hash")
     keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
-    joined = keyed.join(found.hint("shuffle_hash"), "__key", "left").select(*docs.columns, "__spans")
+    clean = keyed.join(found.select("__key"), "__key", "left_anti").select(*docs.columns)
+    joined = keyed.join(found, "__key").select(*docs.columns, "__spans")
     names = docs.columns
     place = names.index("text")
 
@@ -246,4 +250,4 @@ def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
             columns[place] = pa.array(new, batch.column(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return joined.mapInArrow(run, docs.schema)
+    return clean.unionByName(joined.mapInArrow(run, docs.schema))
