@@ -2,6 +2,10 @@
 
 Five stages, each on all rows that its predecessor kept: toxic documents go, one document of each group of
 near-duplicates stays, secrets are masked, sources are mixed to their target weights, and texts are encoded.
+
+Null and empty texts pass all stages but the mix, which may leave out or repeat any document. Documents with a null id are
+never near-duplicates. Rows that repeat in full are treated alike. Other columns pass unread, whatever their names, up to
+the last stage, which returns its own. An empty table gives an empty table.
 """
 
 import uuid
@@ -11,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm import bpe, minhash, mixing, secrets, toxicity
-from pagemill.llm.common import shared_folder, table
+from pagemill.llm.common import delete, shared_folder, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -27,8 +31,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked and n_chars counted anew."""
+    """All documents, with secrets masked and n_chars, if there is one, counted anew."""
     masked = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return masked
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -38,11 +44,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids (little-endian 32-bit integers) and whether decoding gives the text back."""
-    ranks = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(docs, ranks, keep=("doc_id", "source"), with_offsets=False, verify=True)
+    """doc_id, source, n_tokens, ids and ends (little-endian 32-bit integers), and whether decoding by the offsets in ends
+    gives the text back. Null texts have no tokens."""
+    if public_tokenizers.PATTERN != bpe.PATTERN:
+        raise ValueError("the scanner of pieces is built for another pattern")
+    encoded = bpe.encode(docs, public_tokenizers.path(RANKS), keep=("doc_id", "source"), verify=True)
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
-    return encoded.select("doc_id", "source", n_tokens, "ids", "round_trip")
+    return encoded.select("doc_id", "source", n_tokens, "ids", "ends", "round_trip")
 
 
 STAGES = [
@@ -58,10 +66,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents. Each one's rows are written to the shared folder and read again by the next."""
+    """All stages over documents. Each one's rows are written to the shared folder and read again by the next; then those
+    that it read are deleted. The rows that the last stage reads stay."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            delete(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
