@@ -117,6 +117,38 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+#: Bound on the bits of a filter of keys, a power of two.
+FILTER_BITS = 1 << 27
+
+
+def _slots(keys: np.ndarray, n_words: int) -> np.ndarray:
+    """Bit of each key in a filter of so many 64-bit words."""
+    return mixed(keys.view(np.uint64)) & np.uint64(64 * n_words - 1)
+
+
+def key_filter(keys: DataFrame, n: int) -> np.ndarray:
+    """Bits of all of n keys (the first column, long), eight or more for each up to FILTER_BITS. Which keys pass decides
+    only what is looked up in the table of keys itself."""
+    size = min(FILTER_BITS, 1 << max(6, (8 * n).bit_length())) // 64
+
+    def slots(batches):
+        for batch in batches:
+            slot = _slots(batch.column(0).to_numpy(), size)
+            bit = np.uint64(1) << (slot & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).view(np.int64)), pa.array(bit.view(np.int64))], names=["at", "bit"])
+
+    found = keys.mapInArrow(slots, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+    bits = np.zeros(size, np.uint64)
+    bits[found.column("at").to_numpy()] = found.column("bit").to_numpy().view(np.uint64)
+    return bits
+
+
+def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys (int64) may be among those of a filter."""
+    slot = _slots(keys, len(bits))
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+
+
 def runs(held: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of true bytes in concatenated texts; no run crosses texts."""
     border = np.zeros(len(held) + 1, bool)

@@ -4,9 +4,10 @@ A text's suffixes of interest are its windows of LENGTH bytes. They are too many
 every window contains a k-mer of least hash, its anchor, and a run of windows with one anchor is stored as one slice of
 text. Equal windows have equal anchors at equal places, so only bundles of one anchor can share a window:
 
-1. Bundles are dealt by anchor as short rows (hashes and places), equal ones that a task meets close together in one
-   row. Anchors met once drop out; that is most of them. Bundles with equal content, as whole copies and the inside of
-   shared passages give, repeat in full.
+1. Anchors are counted. Those met once drop out; that is most of them. The bundles of the others are dealt by anchor as
+   short rows (hashes and places), equal ones that a task meets close together in one row; a broadcast filter of bounded
+   size keeps most of the rest from being dealt. Bundles with equal content, as whole copies and the inside of shared
+   passages give, repeat in full.
 2. The others fetch their slices of text, one of each content, and meet by anchor in index shards. A shard takes them
    in batches of BATCH windows. A batch gets a suffix array, its windows in order of all their bytes, and is merge-scanned
    against the levels of the shard's index for windows that match over the whole LENGTH. What is new becomes a level, and
@@ -32,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import BASE, UNBASE, delete, durable, mixed, powers, ranges, row_key, text_batches
+from pagemill.llm.common import BASE, UNBASE, delete, durable, key_filter, mixed, passes, powers, ranges, row_key, text_batches
 
 LENGTH = 200
 #: Bytes of an anchor k-mer, and k-mers in a window.
@@ -40,6 +41,8 @@ KMER = 40
 SPREAD = LENGTH - KMER + 1
 #: Bytes of text handled at once.
 SLICE = 1 << 19
+#: Texts whose anchors are found at once when they are counted.
+SLICE_ROWS = 128
 #: Bundles of one anchor from which it is split, and anchor places in a part.
 HOT, PLACES = 1000, 16
 #: Bundles among which a task joins equal ones before the shuffle.
@@ -126,20 +129,41 @@ def _grouped(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*arrays, others], names=["anchor", "content", "key", "start", "n", "place", "others"])
 
 
-def _anchors(batches):
-    """The bundles of (key, __text). A line that fills a text, and copies, reach the shuffle once for GROUPED bundles."""
-    found, held = [], 0
+def _anchor_counts(batches):
+    """(anchor, times): how often the texts (key, __text) of a slice meet each anchor."""
     for batch in batches:
-        for part, text, at in text_batches(batch, "__text", SLICE):
-            number, start, count, place, anchor, content = bundles(text, at)
-            key = part.column(0).to_numpy(zero_copy_only=False)[number]
-            found.append((anchor.view(np.int64), content.view(np.int64), key, start, count, place))
-            held += len(start)
-            if held >= GROUPED:
-                yield _grouped(found)
-                found, held = [], 0
-    if held:
-        yield _grouped(found)
+        for _, text, at in text_batches(batch, "__text", 8 * SLICE):
+            found = []
+            for i in range(0, len(at) - 1, SLICE_ROWS):
+                some = at[i : i + SLICE_ROWS + 1]
+                found.append(bundles(text[some[0] : some[-1]], some - some[0])[4])
+            anchor, times = np.unique(np.concatenate(found).view(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(times)], names=["anchor", "times"])
+
+
+def _anchors(shared=None):
+    """The bundles of (key, __text), those that pass the filter of anchors if there is one. A line that fills a text, and
+    copies, reach the shuffle once for GROUPED bundles."""
+
+    def run(batches):
+        found, held = [], 0
+        for batch in batches:
+            for part, text, at in text_batches(batch, "__text", SLICE):
+                number, start, count, place, anchor, content = bundles(text, at)
+                key = part.column(0).to_numpy(zero_copy_only=False)[number]
+                rows = (anchor.view(np.int64), content.view(np.int64), key, start, count, place)
+                if shared is not None:
+                    kept = passes(shared.value, rows[0])
+                    rows = tuple(x[kept] for x in rows)
+                found.append(rows)
+                held += len(rows[0])
+                if held >= GROUPED:
+                    yield _grouped(found)
+                    found, held = [], 0
+        if held:
+            yield _grouped(found)
+
+    return run
 
 
 def _packed(batches):
@@ -353,21 +377,21 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     docs: (key, text). Rows that share a key are occurrences of their own. Spans may overlap.
     """
     texts = _as_text(docs)
-    return _spans(texts.mapInArrow(_anchors, ANCHORED), texts.mapInArrow(_packed, "key long, packed binary"))
+    counted = texts.mapInArrow(_anchor_counts, "anchor long, times long")
+    met = durable(counted.groupBy("anchor").agg(F.sum("times").alias("met")).filter("met > 1"))
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(met.select("anchor"), met.count()))
+    return _spans(texts.mapInArrow(_anchors(bits), ANCHORED), met, texts.mapInArrow(_packed, "key long, packed binary"))
 
 
-def _spans(rows: DataFrame, packed: DataFrame) -> DataFrame:
-    """The spans that repeat among the bundles in rows; packed has their texts.
+def _spans(rows: DataFrame, met: DataFrame, packed: DataFrame) -> DataFrame:
+    """The spans that repeat among the bundles in rows with the anchors met (anchor, met); packed has their texts.
 
-    How often an anchor and a content are met is summed before the shuffle, and then joined to the bundles, so that a hot
-    anchor fills no task: its sums are one row, and Spark splits the join.
+    What is met is joined to the bundles, so that a hot anchor fills no task: its count is one row, and Spark splits the join.
     """
     times = F.when(F.col("others").isNotNull(), F.size("others") + 1).otherwise(1)
-    rows = rows.withColumn("times", times)
+    rows = durable(rows.withColumn("times", times).join(met, "anchor"))
     by_content = rows.groupBy("anchor", "content").agg(F.sum("times").alias("alike"), F.min(F.struct("key", "start")).alias("lead"))
-    met = by_content.groupBy("anchor").agg(F.sum("alike").alias("met")).filter("met > 1")
-    counts = durable(by_content.join(met, "anchor"))
-    met = durable(rows.join(counts, ["anchor", "content"]))
+    met = rows.join(by_content, ["anchor", "content"])
     places = F.concat(F.array(F.struct("key", "start")), F.coalesce("others", F.array().cast("array<struct<key:long,start:int>>")))
     whole = met.filter("alike > 1").select(F.col("n"), F.inline(places)).select(
         "key", F.col("start").cast("long").alias("begin"), (F.col("start") + F.col("n") - 1 + LENGTH).cast("long").alias("end")
@@ -409,13 +433,15 @@ class RepeatIndex:
         for those as well. Earlier spans are not given again."""
         read = self.spark.read.parquet
         texts = _as_text(docs)
-        new = self._write(texts.mapInArrow(_anchors, ANCHORED).sortWithinPartitions("anchor"), "level")
+        new = self._write(texts.mapInArrow(_anchors(), ANCHORED).sortWithinPartitions("anchor"), "level")
         self.texts.append(self._write(texts.mapInArrow(_packed, "key long, packed binary"), "texts"))
         asked = read(new).select("anchor").distinct()
         rows = read(new)
         for path, _ in self.levels:
             rows = rows.unionByName(read(path).join(asked, "anchor", "left_semi"))
-        spans = durable(_spans(rows, read(*self.texts)))
+        times = F.when(F.col("others").isNotNull(), F.size("others") + 1).otherwise(1)
+        met = rows.groupBy("anchor").agg(F.sum(times).alias("met")).filter("met > 1")
+        spans = durable(_spans(rows, met, read(*self.texts)))
         self.levels.append((new, read(new).count()))
         gone = []
         while len(self.levels) > 1 and self.levels[-2][1] <= 2 * self.levels[-1][1]:

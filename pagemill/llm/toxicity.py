@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import delete, mixed, row_key, run_hashes, stored, text_batches
+from pagemill.llm.common import delete, key_filter, passes, row_key, run_hashes, stored, text_batches
 
 #: Discounts of the toxic and of the ordinary class, and of pairs; texts below which a word is unknown.
 DISCOUNT_TOXIC, DISCOUNT_ORDINARY, PAIRS, LEAST = 50.0, 0.05, 10, 3
@@ -42,8 +42,6 @@ MOST_CAP = 1 << 16
 CALIBRATION_ROWS = 20_000
 #: Bounds on the difference per word, so that a text of few words doesn't bend the fit.
 CLIP = 3.0
-#: Bound on the bits of the filter before look-ups, a power of two.
-FILTER_BITS = 1 << 27
 #: Hashes of words are odd. Even ones are the start and end of a text, and what stands before a word by itself in a key.
 START, ALONE, END = 0, 2, 4
 MADE = ("__n_words", "__toxic_ll", "__ordinary_ll", "__score")
@@ -111,8 +109,7 @@ class Model:
 
     def wanted(self, keys: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (text, key) of the keys that are not in the arrays and pass the filter."""
-        slot = _slots(keys, len(self.bits))
-        asked = (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+        asked = passes(self.bits, keys)
         if len(self.keys):
             asked &= ~_find(self.keys, keys)[1]
         of, want = text[asked], keys[asked]
@@ -138,11 +135,6 @@ def difference(per_word: np.ndarray) -> np.ndarray:
     return np.clip(per_word[:, 0] - per_word[:, 1], -CLIP, CLIP)
 
 
-def _slots(keys: np.ndarray, n_bits: int) -> np.ndarray:
-    """Bit of each key in a filter of so many 64-bit words."""
-    return mixed(keys.view(np.uint64)) & np.uint64(64 * n_bits - 1)
-
-
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     i = np.minimum(np.searchsorted(table, keys), len(table) - 1)
     return i, table[i] == keys
@@ -249,7 +241,7 @@ def count_model(labelled: DataFrame, max_rows: int = 1 << 20) -> Model:
     model = Model(float(np.log(p)), float(np.log(start["back"])) if start else 0.0, top["want"], values)
     beyond = rows.filter(F.col("n") < least).select("want", "tox", "ord")
     if n := beyond.count():
-        model.bits, model.beyond = _filter_bits(beyond, n), beyond
+        model.bits, model.beyond = key_filter(beyond.select("want"), n), beyond
     else:
         delete(spark, row_path)
     return model
@@ -263,22 +255,6 @@ def _least_count(rows: DataFrame, most: int) -> int:
     return int(spread.column("n")[fits - 1].as_py()) if fits else (1 << 62)
 
 
-def _filter_bits(beyond: DataFrame, n: int) -> np.ndarray:
-    """Bits of all keys that can be looked up, eight or more for each up to FILTER_BITS."""
-    size = min(FILTER_BITS, 1 << max(6, (8 * n).bit_length())) // 64
-
-    def slots(batches):
-        for batch in batches:
-            slot = _slots(batch.column(0).to_numpy(), size)
-            bit = np.uint64(1) << (slot & np.uint64(63))
-            yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).view(np.int64)), pa.array(bit.view(np.int64))], names=["at", "bit"])
-
-    found = _arrays(beyond.select("want").mapInArrow(slots, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bit")))
-    bits = np.zeros(size, np.uint64)
-    bits[found["at"]] = found["bit"].view(np.uint64)
-    return bits
-
-
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Bias and slope by Newton's method with a small ridge."""
     x, w = np.column_stack([np.ones(len(x)), x]), np.zeros(2)
