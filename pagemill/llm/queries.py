@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, chat, flac, minhash, mixing, neighbours, repeats, secrets, toxicity, warc
+from pagemill.llm import bpe, chat, flac, minhash, mixing, neighbours, repeats, secrets, toxicity, warc, whitening
 from pagemill.llm.common import table
 
 
@@ -95,6 +95,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_records(chat.conversation_records(turns.unionByName(marked))))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_repeats": op2_repeats,
@@ -106,6 +110,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_warc": op9_warc,
     "op10_chat": op10_chat,
+    "op11_whitening": op11_whitening,
 }
 ORACLE_SQL = {
     "op3_minhash": minhash.near_duplicates_sql(2, 80),
