@@ -57,8 +57,9 @@ def test_large_entries_stay_exact(spark):
     far = [(i, [2e15 * (i % 3), 1.0 * i]) for i in range(30)]  # n x passes 64 bits
     out = W.whiten(spark.createDataFrame(far, "vec_id long, embedding array<double>"), 1).collect()
     got = np.array([r.whitened for r in sorted(out, key=lambda r: r.vec_id)])
-    want = brute(far, 1)[1][:, 0]
-    assert min(np.abs(got - want).max(), np.abs(got + want).max()) < 1e-8 and {r.deviation for r in out} == {None}
+    deviation, want = brute(far, 1)[0], brute(far, 1)[1][:, 0]
+    assert min(np.abs(got - want).max(), np.abs(got + want).max()) < 1e-8
+    assert {r.vec_id: r.deviation for r in out} == {i: int(d) if d < 1 << 63 else None for i, d in enumerate(deviation)}
 
 
 @pytest.mark.parametrize("rows", [[], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])], [(1, None)], [(1, [])]])
