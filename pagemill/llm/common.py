@@ -159,14 +159,15 @@ def runs(held: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(open_), np.flatnonzero(close) + 1
 
 
-def run_hashes(text: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def run_hashes(text: np.ndarray, at: np.ndarray, inside: np.ndarray, base: np.uint64 = BASE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the maximal runs of bytes for which the table inside holds, in the order of concatenated texts,
-    and how many runs each text has. ASCII letters hash in lower case."""
+    and how many runs each text has. ASCII letters hash in lower case. base: an odd number."""
     if not len(text):
         return np.zeros(0, np.uint64), np.zeros(len(at) - 1, np.int64)
     low = np.arange(1, 257, dtype=np.uint64)
     low[65:91] += np.uint64(32)
     begin, end = runs(inside[text], at)
     sums = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum(low[text] * powers(len(text), BASE), out=sums[1:], dtype=np.uint64)
-    return mixed((sums[end] - sums[begin]) * powers(len(text), UNBASE)[begin]), np.diff(np.searchsorted(begin, at))
+    np.cumsum(low[text] * powers(len(text), base), out=sums[1:], dtype=np.uint64)
+    unbase = np.uint64(pow(int(base), -1, 1 << 64))
+    return mixed((sums[end] - sums[begin]) * powers(len(text), unbase)[begin]), np.diff(np.searchsorted(begin, at))

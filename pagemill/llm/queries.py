@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, chat, flac, minhash, mixing, neighbours, repeats, secrets, toxicity, warc, whitening
+from pagemill.llm import bpe, chat, collocations, flac, minhash, mixing, neighbours, repeats, secrets, toxicity, warc, whitening
 from pagemill.llm.common import table
 
 
@@ -99,6 +99,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, most=3, covered=50, top=2000)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_repeats": op2_repeats,
@@ -111,8 +115,10 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_chat": op10_chat,
     "op11_whitening": op11_whitening,
+    "op13_collocations": op13_collocations,
 }
 ORACLE_SQL = {
+    "op13_collocations": collocations.collocations_sql(),
     "op3_minhash": minhash.near_duplicates_sql(2, 80),
     "op4_mixing": mixing.mix_sql(),
     "op8_neighbours": neighbours.nearest_sql(20, 20),
