@@ -77,15 +77,31 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
-def _spelled(text: np.ndarray, begin: np.ndarray) -> pa.Array:
-    """Words, in lower case, that begin at these bytes."""
-    stop = np.append(np.flatnonzero(~WORD[text]), len(text))
-    size = stop[np.searchsorted(stop, begin)] - begin
+def _sizes(text: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Bytes of the words of parted texts."""
+    stop = np.flatnonzero(~WORD[text])
+    return stop[np.searchsorted(stop, begin)] - begin
+
+
+def _spelled(text: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Words in lower case."""
     to = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
     spelled = LOW[text[ranges(begin, size)]]
     return pa.Array.from_buffers(pa.large_string(), len(begin), [None, pa.py_buffer(to), pa.py_buffer(spelled)])
 
 
+def _unlike(text: np.ndarray, begin: np.ndarray, size: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Which words differ from the first of their group; groups follow each other."""
+    first = np.flatnonzero(_changes(group))
+    like = np.repeat(first, np.diff(np.append(first, len(group))))
+    unlike = size != size[like]
+    same = np.flatnonzero(~unlike)
+    differ = LOW[text[ranges(begin[same], size[same])]] != LOW[text[ranges(begin[like][same], size[same])]]
+    at = np.repeat(same, size[same])
+    unlike[at[differ]] = True
+    return unlike
+
+
 def _count(base: np.uint64):
     """The words of each slice of texts with their languages and counts."""
 
@@ -97,10 +113,16 @@ def _count(base: np.uint64):
                 h, begin, of, _ = _words(text, at, base)
                 lang = lang_of[of]
                 order = np.argsort(h ^ mixed(lang.astype(np.uint64)), kind="stable")
-                first = np.flatnonzero(_changes(h[order], lang[order]))
-                n = np.diff(np.append(first, len(order)))
-                at_first = order[first]
-                arrays = [names.take(pa.array(lang[at_first])), pa.array(h[at_first].view(np.int64)), _spelled(text, begin[at_first]).cast(pa.string()), pa.array(n)]
+                h, lang, begin = h[order], lang[order], begin[order]
+                size, new = _sizes(text, begin), _changes(h, lang)
+                # Another word of the same hash stands by itself, and so does what follows it, so that both are seen.
+                unlike = _unlike(text, begin, size, np.cumsum(new))
+                new |= unlike
+                new[1:] |= unlike[:-1]
+                first = np.flatnonzero(new)
+                n = np.diff(np.append(first, len(h)))
+                spelled = _spelled(text, begin[first], size[first]).cast(pa.string())
+                arrays = [names.take(pa.array(lang[first])), pa.array(h[first].view(np.int64)), spelled, pa.array(n)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["lang", "h", "word", "n"])
 
     return run
