@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, chat, collocations, flac, minhash, mixing, neighbours, repeats, secrets, toxicity, warc, whitening
+from pagemill.llm import bpe, chat, collocations, flac, minhash, mixing, neighbours, quality, repeats, secrets, toxicity, warc, whitening
 from pagemill.llm.common import table
 
 
@@ -99,6 +99,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality_scores(docs, table(spark, sf_dir, "labels"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), least=10, most=3, covered=50, top=2000)
 
@@ -115,6 +120,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_chat": op10_chat,
     "op11_whitening": op11_whitening,
+    "op12_quality": op12_quality,
     "op13_collocations": op13_collocations,
 }
 ORACLE_SQL = {
