@@ -1,10 +1,13 @@
 """Per-page operators: extraction, labels, rollups and the latest snapshot of each address."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions import html as H
 from pagemill.functions.urls import canonical_url, url_host
+from pagemill.sources.tables import scratch_folder
 
 
 def page_records(pages: DataFrame, *keep: str) -> DataFrame:
@@ -80,27 +83,44 @@ def classify_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
     return with_kind(pages, rules).select("page_id", "kind")
 
 
-def latest_pages(pages: DataFrame, order: str = "page_id") -> DataFrame:
+#: Winners up to which they are broadcast, so that bodies stay where they are; beyond, bodies are shuffled but never sorted.
+MOST_WINNERS = 1 << 20
+
+
+def latest_pages(pages: DataFrame, order: str = "page_id", keep_params: tuple[str, ...] = ()) -> DataFrame:
     """The latest snapshot for each canonical address: the one of the greatest order, then page_id, then digest.
 
     Pages without an address are each one for themselves. Rows that agree in page_id, url, html and order are one page.
-    The winner is found by aggregates over keys, whose partial steps collapse a hot address before the shuffle. Bodies are
-    fetched by a hash join on the winners' digests, so they are never sorted; where the winners are few enough for Spark to
-    broadcast them, bodies aren't shuffled either.
+    keep_params: parameters that tell addresses apart, as for canonical_url.
+
+    The winners are found by aggregates over keys, whose partial steps collapse a hot address before the shuffle, and are
+    written to a table of keys. That pass reads no bodies: only where several rows of an address agree in order and page_id,
+    or pages have no address, are digests of their bodies compared. All other bodies are read once, to be fetched.
     """
-    row = F.xxhash64("page_id", "url", "html", F.col(order))
-    keyed = pages.withColumns({"canon": canonical_url(F.col("url")), "__row": row})
-    best = F.struct(F.col(order).alias("order_key"), "page_id", "__row")
-    keys = keyed.select("canon", F.when(F.col("canon").isNull(), F.col("__row")).alias("alone"), best.alias("best"))
-    counted = keys.groupBy("canon", "alone", "best").agg(F.count(F.lit(1)).alias("n"))
-    newest = counted.groupBy("canon", "alone").agg(F.max(F.struct("best", "n")).alias("newest"))
-    newest = newest.select(F.col("newest.best.__row").alias("__row"), F.col("newest.n").alias("n"))
-
-    def fetched(which: Column) -> DataFrame:
-        return keyed.join(newest.filter(which).select("__row").hint("shuffle_hash"), "__row", "left_semi")
-
-    # Only rows that repeat in full have to be reduced to one.
-    return fetched(F.col("n") == 1).unionByName(fetched(F.col("n") > 1).dropDuplicates(["__row"])).drop("__row")
+    spark = pages.sparkSession
+    keyed = pages.withColumn("canon", canonical_url(F.col("url"), keep_params))
+    best = F.struct(F.col(order).alias("order_key"), "page_id").alias("best")
+    counted = keyed.select("canon", best).groupBy("canon", "best").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_folder(spark)
+    counted.groupBy("canon").agg(F.max(F.struct("best", "n")).alias("newest")).select(
+        "canon", "newest.best", (F.col("newest.n") > 1).alias("tied")
+    ).write.parquet(path)
+    newest = spark.read.parquet(path)
+    several, alone = F.col("tied"), F.col("canon").isNull()
+    sizes = newest.agg(F.count_if(~several & ~alone).alias("single"), F.count_if(several & ~alone).alias("tied"), F.count_if(alone).alias("alone")).first()
+
+    def fetched(which: Column, n: int) -> DataFrame:
+        keys = newest.filter(which).select(F.col("canon").alias("__canon"), "best")
+        keys = F.broadcast(keys) if n <= MOST_WINNERS else keys.hint("shuffle_hash")
+        same = (F.col("canon") == F.col("__canon")) & best.eqNullSafe(F.col("best"))
+        return keyed.join(keys, same, "left_semi")
+
+    parts = [fetched(~several & ~alone, sizes.single)]
+    if sizes.tied or sizes.alone:  # few: their bodies are compared by digest, and shuffled by it
+        tied = fetched(several & ~alone, sizes.tied).unionByName(keyed.filter("canon is null")).withColumn("__row", F.xxhash64("page_id", "url", "html", order))
+        won = tied.groupBy("canon", F.when(F.col("canon").isNull(), F.col("__row")).alias("__alone")).agg(F.max("__row").alias("__row")).select("__row")
+        parts.append(tied.join(won.hint("shuffle_hash"), "__row", "left_semi").dropDuplicates(["__row"]).drop("__row"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def page_cube(pages: DataFrame) -> DataFrame:

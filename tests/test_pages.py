@@ -110,20 +110,40 @@ def test_latest_pages_with_repeated_and_null_keys(spark):
     rows = [(1, "http://h/a", "x"), (1, "http://h/a/", "y"), (2, "http://h/b", "z"), (2, "http://h/b", "z"), (None, "http://h/c", "n"), (None, None, "p")]
     p = pages(spark, [*rows, (7, None, "q"), (7, None, "r"), (7, None, "r")])
     out = sorted(((r.canon or "", r.page_id or 0, r.html) for r in P.latest_pages(p).collect()))
-    assert out in [[("", 0, "p"), ("", 7, "q"), ("", 7, "r"), ("h/a", 1, w), ("h/b", 2, "z"), ("h/c", 0, "n")] for w in "xy"]
+    rank = {r.html: r.d for r in p.select("html", F.xxhash64("page_id", "url", "html", "page_id").alias("d")).collect()}
+    assert out == [("", 0, "p"), ("", 7, "q"), ("", 7, "r"), ("h/a", 1, max("xy", key=rank.get)), ("h/b", 2, "z"), ("h/c", 0, "n")]
     fetched = p.withColumn("at", F.when(F.col("html") == "x", 9).otherwise(3))
     assert [r.html for r in P.latest_pages(fetched, order="at").filter("canon = 'h/a'").collect()] == ["x"]
     records = W.current_page_records(p, spark.createDataFrame([(1, "b$", "bee")], "prio int, pat string, kind string"))
     assert len(records.columns) == 7 and records.count() == 6 and [r.kind for r in records.filter("kind is not null").collect()] == ["bee"]
 
 
-def test_bodies_are_not_sorted(spark):
-    p = pages(spark, [(1, "http://h/a", "x")])
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plan = P.latest_pages(p)._jdf.queryExecution().sparkPlan().toString()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def scans(df):
+    return plan_of(df).count("FileScan parquet")
+
+
+def test_bodies_are_read_once_and_not_sorted(spark, tmp_path, monkeypatch):
+    pages(spark, [(1, "http://h/a", "x"), (2, "http://h/a/", "y"), (3, "http://h/b", "z")]).write.parquet(str(tmp_path / "p"))
+    p = read_pages(spark, str(tmp_path / "p"))
+    out = P.latest_pages(p)
+    assert sorted(r.html for r in out.collect()) == ["y", "z"]
+    plan = plan_of(out)
+    assert scans(out) == 2 and "BroadcastHashJoin" in plan and "Sort" not in plan and "hashpartitioning" not in plan
+    assert scans(W.current_page_records(p, spark.createDataFrame([(1, "b$", "bee")], "prio int, pat string, kind string"))) == 2
+    monkeypatch.setattr(P, "MOST_WINNERS", 0)
+    out = P.latest_pages(p)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(r.html for r in out.collect()) == ["y", "z"] and "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+
+
+def test_pages_of_a_thread_stay_apart(spark):
+    p = pages(spark, [(1, "http://h/t?page=1", "one"), (2, "http://h/t?page=2&x=1", "two"), (3, "http://h/t?page=2", "two again")])
+    assert {(r.canon, r.html) for r in P.latest_pages(p, keep_params=("page",)).collect()} == {("h/t?page=1", "one"), ("h/t?page=2", "two again")}
+    assert [r.html for r in P.latest_pages(p).collect()] == ["two again"]
 
 
 def test_diff_snapshots_covers_all_keys(spark):
