@@ -32,7 +32,7 @@ ENDS, SPACES = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 #: Pointers from which a prefix is dealt in parts. It doubles until at most MOST_SPLIT prefixes are, whose list is broadcast.
 SPLIT, MOST_SPLIT = 1 << 18, 1 << 17
 #: Pointers in one packed row, and bytes of text in a slice.
-PACKED, SLICE = 1 << 10, 8 << 20
+PACKED, SLICE = 1 << 10, 4 << 20
 #: Parts of each language that are ranked by themselves before the first ones of all parts are.
 RANKED = 64
 #: Bases of the hash, tried in turn.
