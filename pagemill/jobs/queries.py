@@ -10,6 +10,8 @@ from pagemill.operators import links as L
 from pagemill.operators import pages as P
 from pagemill.operators import threads as T
 from pagemill.sources.tables import read_activity, read_messages, read_pages, scratch_folder, write_records
+from pagemill.streaming import activity as A
+from pagemill.streaming import snapshots
 from pagemill.streaming.activity import activity_counts, read_counts, read_stream, store_counts
 
 #: (prio, pat, kind), first match wins.
@@ -64,6 +66,55 @@ def _streamed(spark: SparkSession, d: str) -> DataFrame:
     return read_counts(spark, folder)
 
 
+def _delivered(df: DataFrame, folder: str, deliveries: list[str]) -> str:
+    """df as files of a folder that come one after the other: each delivery has the rows for which its condition holds."""
+    for rows in deliveries:
+        df.filter(rows).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    return f"{folder}/in"
+
+
+def _upserted(spark: SparkSession, d: str) -> DataFrame:
+    """All pages, delivered in three parts in no order, merged address by address."""
+    folder = scratch_folder(spark)
+    came = _delivered(_pages(spark, d), folder, [f"pmod(xxhash64(page_id), 3) = {i}" for i in range(3)])
+    snapshots.store_latest(snapshots.stream_pages(spark, came, files_at_once=1), folder, fold_after=2)
+    return snapshots.read_latest(spark, folder).select(
+        "page_id", "canon", H.page_title(F.col("html")).alias("title"), url_host(F.col("url")).alias("host")
+    )
+
+
+def _sessions_streamed(spark: SparkSession, d: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    A.store_sessions(A.session_counts(read_stream(spark, d, "events.parquet"), "6 hours"), folder, "complete")
+    return A.read_sessions(spark, folder)
+
+
+def _delivered_once(spark: SparkSession, d: str) -> DataFrame:
+    """All events, delivered twice, each kept once."""
+    folder = scratch_folder(spark)
+    came = _delivered(spark.read.parquet(f"{d}/events.parquet"), folder, ["true", "true"])
+    A.store_events(A.delivered_once(read_stream(spark, came, files_at_once=1), "40 days"), folder)
+    return A.read_events(spark, folder)
+
+
+#: Three deliveries of the events: some up to the tenth day, the same for all later days, and those held back from all days.
+DELIVERIES = (
+    "event_id % 5 <> 0 and ts < timestamp_ntz'2024-01-11 00:00:00'",
+    "event_id % 5 <> 0 and ts >= timestamp_ntz'2024-01-11 00:00:00'",
+    "event_id % 5 = 0",
+)
+
+
+def _late(result):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        folder = scratch_folder(spark)
+        came = _delivered(spark.read.parquet(f"{d}/events.parquet"), folder, list(DELIVERIES))
+        A.store_counts_and_late(read_stream(spark, came, files_at_once=1), folder, "1 day", "5 days")
+        return result(spark, folder)
+
+    return run
+
+
 def _spread(spark: SparkSession, d: str) -> DataFrame:
     """All messages, with numbers that leave one out after every two."""
     return _messages(spark, d).withColumn("seq", F.expr("seq + seq div 2"))
@@ -108,6 +159,12 @@ QUERIES = {
     "st_activity_tumbling": lambda s, d: activity_counts(read_activity(s, f"{d}/events.parquet"), "1 day"),
     "st_activity_stream": _streamed,
     "st_activity_sliding": lambda s, d: activity_counts(read_activity(s, f"{d}/events.parquet"), "1 day", "12 hours"),
+    "st_latest_pages_upsert": _upserted,
+    "st_sessions": lambda s, d: A.session_counts(read_activity(s, f"{d}/events.parquet"), "6 hours"),
+    "st_sessions_stream": _sessions_streamed,
+    "st_delivered_once": _delivered_once,
+    "st_counts_in_time": _late(A.read_counts_in_time),
+    "st_late_events": _late(A.read_late),
     "w1_current_page_records": lambda s, d: workflows.current_page_records(_pages(s, d), _rules(s)),
     "w2_crawl_frontier": lambda s, d: workflows.crawl_frontier(_pages(s, d), 100),
     "w3_thread_report": lambda s, d: workflows.thread_report(_messages(s, d)),
@@ -189,6 +246,16 @@ def _activity_sql(size: str, slide: str) -> str:
 _LATEST = f"""SELECT page_id, url, html, canon FROM (SELECT *, {_canon('url')} AS canon,
       row_number() OVER (PARTITION BY {_canon('url')} ORDER BY page_id DESC) AS rn FROM pages) WHERE rn = 1"""
 
+_SESSIONS = """SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n FROM (
+      SELECT user_id, ts, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 6 HOUR THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s
+      FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)) GROUP BY user_id, s"""
+#: Events with the batch that they come in and the watermark before it.
+_DELIVERED = """SELECT event_id, ts, user_id, event_type, batch, max(m) OVER (ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+      - INTERVAL 5 DAY AS passed FROM (SELECT *, ts AS m, (CASE WHEN event_id % 5 = 0 THEN 2 WHEN ts < TIMESTAMP '2024-01-11' THEN 0 ELSE 1 END)::BIGINT AS batch
+      FROM events)"""
+_IS_LATE = "coalesce(time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= passed, false)"
+
 ORACLE_SQL = {
     "io_pages": "SELECT page_id, url, length(html) AS n_chars FROM pages",
     "io_write_records": f"""SELECT page_id, {_canon('url')} AS canon, {_HOST} AS host, {_TITLE} AS title, {_DECODED} AS text,
@@ -243,6 +310,13 @@ ORACLE_SQL = {
     "st_activity_tumbling": _activity_sql("1 day", "1 day"),
     "st_activity_stream": _activity_sql("1 day", "1 day"),
     "st_activity_sliding": _activity_sql("1 day", "12 hours"),
+    "st_latest_pages_upsert": f"SELECT page_id, canon, {_TITLE} AS title, {_HOST} AS host FROM ({_LATEST})",
+    "st_sessions": _SESSIONS,
+    "st_sessions_stream": _SESSIONS,
+    "st_delivered_once": "SELECT event_id, ts, user_id, event_type FROM events",
+    "st_counts_in_time": f"""SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+      event_type, count(*) AS n FROM ({_DELIVERED}) WHERE NOT {_IS_LATE} GROUP BY ALL""",
+    "st_late_events": f"SELECT event_id, ts, user_id, event_type, batch FROM ({_DELIVERED}) WHERE {_IS_LATE}",
     "w1_current_page_records": f"""SELECT page_id, canon, {_HOST} AS host, {_TITLE} AS title, {_DECODED} AS text,
       sha256(html) AS hash, kind FROM ({_LATEST}) LEFT JOIN ({_KINDS}) USING (page_id)""",
     "w2_crawl_frontier": f"""SELECT canon, count(*) AS n_links, count(DISTINCT page_id) AS n_pages
