@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import BASE, delete, key_filter, mixed, passes, ranges, run_hashes, runs, stored, text_batches
+from pagemill.llm.common import BASE, data, delete, key_filter, mixed, offsets, passes, ranges, run_hashes, runs, stored, text_batches
 
 #: Bytes that end a piece, and bytes that part words within one.
 ENDS, SPACES = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -232,7 +232,7 @@ def _grow(most: int, least: int):
         out: list[tuple[str, tuple[int, ...], np.ndarray, np.ndarray]] = []
 
         def finish():
-            pointers = np.frombuffer(b"".join(held), kind)
+            pointers = (held[0] if len(held) == 1 else np.concatenate(held)).view(kind)
             lang, prefix, part = key
             n = pointers["n"].astype(np.int64)
             if part >= 0 or n.sum() >= least:
@@ -249,13 +249,17 @@ def _grow(most: int, least: int):
             return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.ListArray.from_arrays(pa.array(to), pa.array(words)), pa.array(counts)], schema=schema)
 
         for batch in batches:
-            columns = (batch.column(i).to_pylist() for i in range(3))
-            for i, row in enumerate(zip(*columns, strict=True)):
+            lang = pc.dictionary_encode(batch.column(0))
+            code, prefix, part = lang.indices.to_numpy(zero_copy_only=False), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            first = np.flatnonzero(_changes(code, prefix, part))
+            at, raw = offsets(batch.column(3)), data(batch.column(3))
+            cut = at[np.append(first, len(batch))]
+            for i, row in enumerate(zip(lang.dictionary.take(pa.array(code[first])).to_pylist(), prefix[first].tolist(), part[first].tolist(), strict=True)):
                 if row != key:
                     if held:
                         finish()
                     held, key = [], row
-                held.append(batch.column(3)[i].as_py())
+                held.append(raw[cut[i] : cut[i + 1]])
             if out:
                 yield given()
         if held:
