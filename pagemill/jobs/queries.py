@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 from pagemill.functions import html as H
 from pagemill.functions.urls import canonical_url, url_host
 from pagemill.jobs import workflows
+from pagemill.operators import blocks as B
 from pagemill.operators import links as L
 from pagemill.operators import pages as P
+from pagemill.operators import sketches as K
 from pagemill.operators import threads as T
+from pagemill.operators.rules import indexed_rules, kinds_of_urls
+from pagemill.sources import snapshots as stored
 from pagemill.sources.tables import read_activity, read_messages, read_pages, scratch_folder, write_records
 from pagemill.streaming import activity as A
 from pagemill.streaming import snapshots
@@ -60,6 +64,55 @@ def _written(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _stored_snapshots(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Both snapshots as tables bucketed by address."""
+    path = scratch_folder(spark)
+    table = f"snapshot_{path.rsplit('/', 1)[-1]}"
+    return [stored.store_snapshot(s, f"{table}_{i}", f"{path}/{i}", buckets=16) for i, s in enumerate(_snapshots(spark, d))]
+
+
+def _latest_stored(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_folder(spark)
+    table = stored.store_snapshot(_pages(spark, d), f"snapshot_{path.rsplit('/', 1)[-1]}", path, buckets=16)
+    return stored.latest_stored(table).select(
+        "page_id", canonical_url(F.col("url")).alias("canon"), H.page_title(F.col("html")).alias("title"), url_host(F.col("url")).alias("host")
+    )
+
+
+def _links(spark: SparkSession, d: str) -> DataFrame:
+    """All links as a stored table."""
+    path = scratch_folder(spark)
+    write_records(L.extract_links(_pages(spark, d)), path)
+    return spark.read.parquet(path)
+
+
+def _many_rules(spark: SparkSession, d: str) -> DataFrame:
+    """RULES, a rule for each page's own address behind them, and one for each site behind these."""
+    escaped = lambda url: F.regexp_replace(url, r"([^A-Za-z0-9/:])", r"\\$1")
+    pages, url = _pages(spark, d), F.col("url")
+    own = F.concat(F.lit("^"), escaped(F.regexp_replace(url, r"[?#].*$", "")), F.lit("([?#]|$)"))
+    site = F.concat(F.lit("^"), escaped(F.regexp_extract(url, r"^https?://[^/?#]+", 0)), F.lit("/"))
+    rows = [pages.select(F.lit(prio).alias("prio"), pat.alias("pat"), kind.alias("kind")) for prio, pat, kind in ((4, own, F.lit("own")), (5, site, url_host(url)))]
+    return _rules(spark).unionByName(rows[0]).unionByName(rows[1]).distinct()
+
+
+def _classified(spark: SparkSession, d: str) -> DataFrame:
+    """The first rule of very many for each page, by the index whatever their number."""
+    indexed, rest = indexed_rules(_many_rules(spark, d))
+    pages = _pages(spark, d).select("page_id", "url")
+    by_index = pages.join(kinds_of_urls(pages, indexed).withColumnRenamed("best", "found"), "url", "left")
+    return P.with_kind(by_index, rest).select("page_id", F.col("kind").alias("listed"), "found.prio", F.col("found.kind").alias("kind"))
+
+
+def _distinct_merged(spark: SparkSession, d: str) -> DataFrame:
+    """Users of each event type and week, from sketches stored by day."""
+    path, day = scratch_folder(spark), F.to_date("ts").alias("day")
+    events = read_activity(spark, f"{d}/events.parquet")
+    write_records(K.distinct_sketches(events, ["event_type", day], "user_id"), path)
+    week = F.to_date(F.date_trunc("week", "day")).alias("week")
+    return K.distinct_counts(K.merge_sketches(spark.read.parquet(path), ["event_type", week]))
+
+
 def _streamed(spark: SparkSession, d: str) -> DataFrame:
     folder = scratch_folder(spark)
     store_counts(activity_counts(read_stream(spark, d, "events.parquet"), "1 day"), folder)
@@ -134,6 +187,7 @@ QUERIES = {
     "px_truncated_pages": lambda s, d: P.truncated_pages(_pages(s, d)).select("page_id", "url"),
     "gx_extract_links": lambda s, d: L.extract_links(_pages(s, d)),
     "gx_extract_blocks": lambda s, d: P.extract_blocks(_pages(s, d)),
+    "gx_nested_blocks": lambda s, d: B.nested_blocks(_pages(s, d)),
     "gx_extract_fields": lambda s, d: P.extract_fields(
         P.with_kind(_pages(s, d), _rules(s)), s.createDataFrame(list(FIELDS), "kind string, field string, prio int, pattern string")
     ),
@@ -144,13 +198,21 @@ QUERIES = {
         _pages(s, d),
     ),
     "jn_diff_snapshots": lambda s, d: P.diff_snapshots(*_snapshots(s, d)),
+    "jn_classify_many": _classified,
+    "jn_filtered_frontier": lambda s, d: L.filtered_frontier(L.extract_links(_pages(s, d)), _pages(s, d)),
+    "jn_diff_stored": lambda s, d: stored.diff_stored(*_stored_snapshots(s, d)),
     "jn_missing_messages": lambda s, d: T.missing_messages(_spread(s, d)),
+    "jn_long_gaps": lambda s, d: T.long_gaps(_spread(s, d), longest=1),
     "jn_message_gaps": lambda s, d: T.message_gaps(_spread(s, d)),
     "jn_oversized_threads": lambda s, d: T.oversized_threads(_spread(s, d), 6),
     "ag_thread_rollup": lambda s, d: T.thread_rollup(_messages(s, d)),
     "ag_author_rollup": lambda s, d: T.author_rollup(_messages(s, d)),
+    "ag_distinct_merged": _distinct_merged,
     "ag_page_cube": lambda s, d: P.page_cube(_pages(s, d)),
     "ag_inlink_counts": lambda s, d: L.inlink_counts(L.extract_links(_pages(s, d))),
+    "wn_frequent_targets": lambda s, d: L.frequent_targets(_links(s, d), 100),
+    "wn_recent_rank": lambda s, d: P.recent_rank(_pages(s, d), 3),
+    "wn_latest_stored": _latest_stored,
     "wn_latest_pages": lambda s, d: P.latest_pages(_pages(s, d)).select(
         "page_id", "canon", H.page_title(F.col("html")).alias("title"), url_host(F.col("url")).alias("host")
     ),
@@ -166,6 +228,7 @@ QUERIES = {
     "st_counts_in_time": _late(A.read_counts_in_time),
     "st_late_events": _late(A.read_late),
     "w1_current_page_records": lambda s, d: workflows.current_page_records(_pages(s, d), _rules(s)),
+    "w1_paged_records": lambda s, d: workflows.current_page_records(_pages(s, d), _rules(s), keep_params=("page",)),
     "w2_crawl_frontier": lambda s, d: workflows.crawl_frontier(_pages(s, d), 100),
     "w3_thread_report": lambda s, d: workflows.thread_report(_messages(s, d)),
 }
@@ -243,9 +306,30 @@ def _activity_sql(size: str, slide: str) -> str:
       GROUP BY ALL"""
 
 
-_LATEST = f"""SELECT page_id, url, html, canon FROM (SELECT *, {_canon('url')} AS canon,
-      row_number() OVER (PARTITION BY {_canon('url')} ORDER BY page_id DESC) AS rn FROM pages) WHERE rn = 1"""
+def _latest_sql(canon: str) -> str:
+    return f"""SELECT page_id, url, html, canon FROM (SELECT *, {canon} AS canon,
+      row_number() OVER (PARTITION BY {canon} ORDER BY page_id DESC) AS rn FROM pages) WHERE rn = 1"""
 
+
+_PAGED = f"""{_canon('url')} || CASE WHEN regexp_matches(url, '[?&]page=[^&#]*') THEN '?' || regexp_extract(url, '[?&](page=[^&#]*)', 1) ELSE '' END"""
+_LATEST = _latest_sql(_canon("url"))
+_DIFF = f"""
+      WITH o AS (SELECT {_canon("CASE WHEN page_id % 10 = 3 THEN url || '/earlier' ELSE url END")} AS canon, max(page_id) AS old_id,
+                 arg_max(sha256(html), page_id) AS h FROM pages GROUP BY 1),
+           n AS (SELECT {_canon("CASE WHEN page_id % 10 = 7 THEN url || '/later' ELSE url END")} AS canon, max(page_id) AS new_id,
+                 arg_max(sha256(CASE WHEN page_id % 5 = 0 THEN html || '<!-- edited -->' ELSE html END), page_id) AS h
+                 FROM pages GROUP BY 1)
+      SELECT canon, old_id, new_id, CASE WHEN old_id IS NULL THEN 'new' WHEN new_id IS NULL THEN 'gone'
+             WHEN o.h = n.h THEN 'same' ELSE 'changed' END AS state FROM o FULL JOIN n USING (canon)"""
+_FRONTIER = f"""SELECT DISTINCT {_canon('target')} AS target FROM ({_LINKS}) WHERE target IS NOT NULL
+      AND {_canon('target')} NOT IN (SELECT {_canon('url')} FROM pages)"""
+_SITE = "regexp_extract(url, '^https?://[^/?#]+', 0)"
+_CLASSIFIED = f"""
+      WITH r AS (SELECT DISTINCT 4 AS prio, regexp_replace(url, '[?#].*$', '') AS start, 'own' AS kind FROM pages
+                 UNION SELECT DISTINCT 5, {_SITE} || '/', {_HOST} FROM pages),
+           f AS (SELECT page_id, min((prio, kind)) AS best FROM pages JOIN r ON starts_with(url, start)
+                 AND (prio = 5 OR length(url) = length(start) OR substr(url, length(start) + 1, 1) IN ('?', '#')) GROUP BY page_id)
+      SELECT page_id, k.kind AS listed, best[1] AS prio, best[2] AS kind FROM ({_KINDS}) k LEFT JOIN f USING (page_id)"""
 _SESSIONS = """SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n FROM (
       SELECT user_id, ts, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 6 HOUR THEN 1 ELSE 0 END)
         OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s
@@ -275,31 +359,35 @@ ORACLE_SQL = {
     "gx_extract_blocks": f"""SELECT page_id, i AS pos, blocks[i + 1] AS block
       FROM (SELECT page_id, blocks, unnest(range(len(blocks)))::INT AS i
             FROM (SELECT page_id, regexp_extract_all({_CLEAN}, {_quoted(H.BLOCK)}, 1) AS blocks FROM pages))""",
+    "gx_nested_blocks": B.nested_blocks_sql(_CLEAN, _TEXT),
     "gx_extract_fields": _fields_sql(),
     "jn_classify_pages": _KINDS,
-    "jn_frontier": f"""SELECT DISTINCT {_canon('target')} AS target FROM ({_LINKS}) WHERE target IS NOT NULL
-      AND {_canon('target')} NOT IN (SELECT {_canon('url')} FROM pages)""",
+    "jn_frontier": _FRONTIER,
+    "jn_filtered_frontier": _FRONTIER,
+    "jn_classify_many": _CLASSIFIED,
     "jn_internal_links": f"""SELECT DISTINCT {_canon('target')} AS target
       FROM (SELECT target FROM ({_LINKS}) UNION ALL SELECT url FROM pages)
       WHERE {_canon('target')} IN (SELECT {_canon('url')} FROM pages)""",
-    "jn_diff_snapshots": f"""
-      WITH o AS (SELECT {_canon("CASE WHEN page_id % 10 = 3 THEN url || '/earlier' ELSE url END")} AS canon, max(page_id) AS old_id,
-                 arg_max(sha256(html), page_id) AS h FROM pages GROUP BY 1),
-           n AS (SELECT {_canon("CASE WHEN page_id % 10 = 7 THEN url || '/later' ELSE url END")} AS canon, max(page_id) AS new_id,
-                 arg_max(sha256(CASE WHEN page_id % 5 = 0 THEN html || '<!-- edited -->' ELSE html END), page_id) AS h
-                 FROM pages GROUP BY 1)
-      SELECT canon, old_id, new_id, CASE WHEN old_id IS NULL THEN 'new' WHEN new_id IS NULL THEN 'gone'
-             WHEN o.h = n.h THEN 'same' ELSE 'changed' END AS state FROM o FULL JOIN n USING (canon)""",
+    "jn_diff_snapshots": _DIFF,
+    "jn_diff_stored": _DIFF,
     "jn_missing_messages": f"SELECT thread_id, unnest(generate_series(gap_from, gap_to)) AS seq FROM ({_gaps(_SPREAD)})",
+    "jn_long_gaps": f"SELECT * FROM ({_gaps(_SPREAD)}) WHERE gap_to - gap_from >= 1",
     "jn_message_gaps": _gaps(_SPREAD),
     "jn_oversized_threads": f"SELECT thread_id, max(seq) AS max_seq FROM ({_SPREAD}) GROUP BY thread_id HAVING max(seq) > 6",
     "ag_thread_rollup": _rollup_sql(_MESSAGES),
     "ag_author_rollup": f"""SELECT author, count(*) AS n_messages, coalesce(sum(length(text)), 0)::BIGINT AS n_chars,
       count(DISTINCT thread_id) AS n_threads FROM ({_MESSAGES}) GROUP BY author""",
+    "ag_distinct_merged": """SELECT event_type, date_trunc('week', ts)::DATE AS week, count(*) AS n, count(DISTINCT user_id) AS n_user_id
+      FROM events GROUP BY ALL""",
     "ag_page_cube": f"""SELECT host, lang, count(*) AS n_pages, grouping(host, lang)::BIGINT AS level
       FROM (SELECT {_HOST} AS host, {_LANG} AS lang FROM pages) GROUP BY CUBE (host, lang)""",
     "ag_inlink_counts": f"""SELECT target, count(*) AS n_links, count(DISTINCT page_id) AS n_pages
       FROM ({_LINKS}) WHERE target IS NOT NULL GROUP BY target""",
+    "wn_frequent_targets": f"""SELECT target, count(*) AS n_links, count(DISTINCT page_id) AS n_pages FROM ({_LINKS}) WHERE target IS NOT NULL
+      GROUP BY target ORDER BY n_links DESC, target LIMIT 100""",
+    "wn_recent_rank": f"""SELECT page_id, canon, rank FROM (SELECT page_id, {_canon('url')} AS canon,
+      row_number() OVER (PARTITION BY {_canon('url')} ORDER BY page_id DESC)::INT AS rank FROM pages) WHERE rank <= 3""",
+    "wn_latest_stored": f"SELECT page_id, canon, {_TITLE} AS title, {_HOST} AS host FROM ({_LATEST})",
     "wn_latest_pages": f"SELECT page_id, canon, {_TITLE} AS title, {_HOST} AS host FROM ({_LATEST})",
     "wn_message_context": f"""SELECT thread_id, seq, author, lag(author) OVER w AS prev_author,
       (sum(length(text)) OVER (PARTITION BY thread_id ORDER BY seq ROWS UNBOUNDED PRECEDING))::BIGINT AS running_chars
@@ -319,6 +407,8 @@ ORACLE_SQL = {
     "st_late_events": f"SELECT event_id, ts, user_id, event_type, batch FROM ({_DELIVERED}) WHERE {_IS_LATE}",
     "w1_current_page_records": f"""SELECT page_id, canon, {_HOST} AS host, {_TITLE} AS title, {_DECODED} AS text,
       sha256(html) AS hash, kind FROM ({_LATEST}) LEFT JOIN ({_KINDS}) USING (page_id)""",
+    "w1_paged_records": f"""SELECT page_id, canon, {_HOST} AS host, {_TITLE} AS title, {_DECODED} AS text,
+      sha256(html) AS hash, kind FROM ({_latest_sql(_PAGED)}) LEFT JOIN ({_KINDS}) USING (page_id)""",
     "w2_crawl_frontier": f"""SELECT canon, count(*) AS n_links, count(DISTINCT page_id) AS n_pages
       FROM (SELECT {_canon('target')} AS canon, page_id FROM ({_LINKS}) WHERE target IS NOT NULL)
       WHERE canon NOT IN (SELECT {_canon('url')} FROM pages) GROUP BY canon ORDER BY n_links DESC, canon LIMIT 100""",

@@ -8,22 +8,23 @@ from pagemill.operators import links as L
 from pagemill.operators import pages as P
 
 
-def current_page_records(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """W1: latest snapshot of each address, extracted and labelled in one pass over the fetched bodies."""
-    latest = P.latest_pages(pages).select("page_id", "url", "html")
-    return P.page_records(P.with_kind(latest, rules), "kind")
+def current_page_records(pages: DataFrame, rules: DataFrame, keep_params: tuple[str, ...] = ()) -> DataFrame:
+    """W1: latest snapshot of each address, extracted and labelled in one pass over the fetched bodies. keep_params: parameters
+    that tell addresses apart, such as the page of a thread."""
+    latest = P.latest_pages(pages, keep_params=keep_params).select("page_id", "url", "html")
+    return P.page_records(P.with_kind(latest, rules), "kind", keep_params=keep_params)
 
 
-def crawl_frontier(pages: DataFrame, k: int) -> DataFrame:
+def crawl_frontier(pages: DataFrame, k: int, keep_params: tuple[str, ...] = ()) -> DataFrame:
     """W2: the k most linked addresses that aren't saved yet.
 
     Links are counted by (address, page) before they meet, and known addresses are subtracted from the counts, so pages
     are parsed once.
     """
     links = L.extract_links(pages).filter(F.col("target").isNotNull())
-    by_page = links.groupBy(canonical_url(F.col("target")).alias("canon"), "page_id").agg(F.count(F.lit(1)).alias("n"))
+    by_page = links.groupBy(canonical_url(F.col("target"), keep_params).alias("canon"), "page_id").agg(F.count(F.lit(1)).alias("n"))
     ranked = by_page.groupBy("canon").agg(F.sum("n").alias("n_links"), F.count("page_id").alias("n_pages"))
-    known = pages.select(canonical_url(F.col("url")).alias("canon"))
+    known = pages.select(canonical_url(F.col("url"), keep_params).alias("canon"))
     return ranked.join(known, "canon", "left_anti").orderBy(F.desc("n_links"), "canon").limit(k)
 
 

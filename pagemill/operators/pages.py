@@ -1,21 +1,23 @@
 """Per-page operators: extraction, labels, rollups and the latest snapshot of each address."""
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions import html as H
 from pagemill.functions.urls import canonical_url, url_host
+from pagemill.operators.rules import indexed_rules, kinds_of_urls
 from pagemill.sources.tables import scratch_folder
 
 
-def page_records(pages: DataFrame, *keep: str) -> DataFrame:
+def page_records(pages: DataFrame, *keep: str, keep_params: tuple[str, ...] = ()) -> DataFrame:
     """One record for each page: canonical address, host, title, decoded text and fingerprint, and the columns in keep.
     Narrow: no shuffle."""
     return pages.select(
         "page_id",
-        canonical_url(F.col("url")).alias("canon"),
+        canonical_url(F.col("url"), keep_params).alias("canon"),
         url_host(F.col("url")).alias("host"),
         H.page_title(F.col("html")).alias("title"),
         H.decode_entities(H.page_text(F.col("html"))).alias("text"),
@@ -69,13 +71,26 @@ def extract_fields(pages: DataFrame, rules: DataFrame) -> DataFrame:
 def with_kind(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """pages with the kind that rules ``(prio, pat, kind)`` give: of the patterns that match a URL, the lowest prio wins.
 
-    Pages that no pattern matches, and those without a URL, have a null kind. The patterns are part of the plan, so
-    pages stay where they are.
+    Pages that no pattern matches, and those without a URL, have a null kind. Up to MOST_RULES patterns are part of the plan,
+    so pages stay where they are. Of more rules, those whose patterns begin with some text after ``^`` are found by it, for
+    each distinct URL once, and pages meet their kinds by URL; of the others there may be as many as the plan may have.
     """
-    kind = F.lit(None).cast("string")
+    if rules.limit(MOST_RULES + 1).count() <= MOST_RULES:
+        return pages.withColumn("kind", _first_rule(rules, "string", lambda r: F.lit(r["kind"])))
+    indexed, rest = indexed_rules(rules.withColumn("prio", F.col("prio").cast("int")))
+    row = "struct<prio:int,pat:string,kind:string>"
+    best = _first_rule(rest, row, lambda r: F.struct(*(F.lit(r[c]).alias(c) for c in ("prio", "pat", "kind"))).cast(row))
+    found = kinds_of_urls(pages, indexed).withColumnsRenamed({"url": "__url", "best": "__best"})
+    met = pages.join(found, F.col("url") == F.col("__url"), "left")
+    return met.withColumn("kind", F.least("__best", best)["kind"]).drop("__url", "__best")
+
+
+def _first_rule(rules: DataFrame, kind: str, value: Callable[[Row], Column]) -> Column:
+    """Of the rules whose patterns match url, the first one's value; null if none does."""
+    out = F.lit(None).cast(kind)
     for r in reversed(_rule_list(rules, "prio", "pat", "kind")):
-        kind = F.when(F.col("url").rlike(r["pat"]), F.lit(r["kind"])).otherwise(kind)
-    return pages.withColumn("kind", kind)
+        out = F.when(F.col("url").rlike(r["pat"]), value(r)).otherwise(out)
+    return out
 
 
 def classify_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -129,7 +144,7 @@ def page_cube(pages: DataFrame) -> DataFrame:
     return t.cube("host", "lang").agg(F.count(F.lit(1)).alias("n_pages"), F.grouping_id().alias("level"))
 
 
-def diff_snapshots(old: DataFrame, new: DataFrame) -> DataFrame:
+def diff_snapshots(old: DataFrame, new: DataFrame, keep_params: tuple[str, ...] = ()) -> DataFrame:
     """State of each address between two snapshots: new, gone, changed or same. Only digests are shuffled.
 
     Of the pages of an address, the one of the greatest id, then digest, counts. Pages without an address are compared by
@@ -137,7 +152,7 @@ def diff_snapshots(old: DataFrame, new: DataFrame) -> DataFrame:
     """
 
     def digests(pages: DataFrame, side: str) -> DataFrame:
-        t = pages.select("page_id", canonical_url(F.col("url")).alias("canon"), H.content_hash(F.col("html")).alias("h"))
+        t = pages.select("page_id", canonical_url(F.col("url"), keep_params).alias("canon"), H.content_hash(F.col("html")).alias("h"))
         t = t.withColumn("alone", F.when(F.col("canon").isNull(), F.col("page_id")))
         t = t.groupBy("canon", "alone").agg(F.max(F.struct("page_id", "h")).alias(side))
         return t.withColumnsRenamed({"canon": f"canon_{side}", "alone": f"alone_{side}"})

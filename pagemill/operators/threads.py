@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Missing numbers that are expanded from one row.
-RUN = 1 << 16
+#: Numbers of a stretch that is expanded at once, and of the longest gap that is listed number by number.
+RUN, LONGEST = 1 << 16, 1 << 30
 #: Largest number that oversized_threads doesn't report.
 MAX_SEQ = 1_000_000
 
@@ -65,18 +65,32 @@ def top_messages(messages: DataFrame, k: int) -> DataFrame:
     return t.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def missing_messages(messages: DataFrame, max_seq: int | None = None) -> DataFrame:
+def missing_messages(messages: DataFrame, max_seq: int | None = None, longest: int = LONGEST) -> DataFrame:
     """Gaps of each thread between 0 and its largest number, as one row for each missing number.
 
-    Long gaps are expanded in runs. One absurd number makes very many rows: with max_seq, only missing numbers up to it are
-    listed, and oversized_threads reports the threads that go on.
+    Gaps of over longest numbers, which only absurd numbers make, are not listed number by number: long_gaps reports them as
+    ranges, so nothing is lost. Other long gaps are cut into stretches of RUN numbers, which are dealt over the cluster before
+    they are expanded, so no task has more than a stretch in memory. With max_seq, only missing numbers up to it count, and
+    oversized_threads reports the threads that go on.
     """
-    gaps = message_gaps(messages)
-    if max_seq is not None:
-        gaps = gaps.withColumn("gap_to", F.least("gap_to", F.lit(max_seq).cast("long"))).filter("gap_from <= gap_to")
-    starts = gaps.select("thread_id", "gap_to", F.explode(F.sequence("gap_from", "gap_to", F.lit(RUN).cast("long"))).alias("begin"))
-    run = F.sequence("begin", F.least("gap_to", F.col("begin") + (RUN - 1)))
-    return starts.select("thread_id", F.explode(run).alias("seq"))
+    gaps = _up_to(message_gaps(messages), max_seq).filter(F.col("gap_to") - F.col("gap_from") < longest)
+    short = F.col("gap_to") - F.col("gap_from") < RUN
+    begin = F.explode(F.sequence("gap_from", "gap_to", F.lit(RUN).cast("long"))).alias("begin")
+    cut = gaps.filter(~short).select("thread_id", "gap_to", begin).repartition("thread_id", "begin")
+    stretches = cut.select("thread_id", F.col("begin").alias("gap_from"), F.least("gap_to", F.col("begin") + (RUN - 1)).alias("gap_to"))
+    every = gaps.filter(short).unionByName(stretches)
+    return every.select("thread_id", F.explode(F.sequence("gap_from", "gap_to")).alias("seq"))
+
+
+def long_gaps(messages: DataFrame, max_seq: int | None = None, longest: int = LONGEST) -> DataFrame:
+    """The gaps that missing_messages doesn't list, as message_gaps has them."""
+    return _up_to(message_gaps(messages), max_seq).filter(F.col("gap_to") - F.col("gap_from") >= longest)
+
+
+def _up_to(gaps: DataFrame, max_seq: int | None) -> DataFrame:
+    if max_seq is None:
+        return gaps
+    return gaps.withColumn("gap_to", F.least("gap_to", F.lit(max_seq).cast("long"))).filter("gap_from <= gap_to")
 
 
 def message_gaps(messages: DataFrame) -> DataFrame:
