@@ -1,8 +1,12 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 Sizes are summed by source, each source gets a target and so a repetition rate, and a document is taken floor(rate)
-times plus once more if a hash of its id, seeded, falls below the rate's fraction. Of SEEDS draws, each source uses the
-one whose total comes nearest its target; the totals of all draws are made in one pre-aggregated pass.
+times plus once more if a hash of its id and text, seeded, falls below the rate's fraction. Texts are part of the hash, so
+that rows draw for themselves where ids are null or repeated; only rows that agree in both draw alike.
+
+A single draw leaves a source of few documents far from its target: with ten of equal size at a rate of 1.5, every other
+draw is off by a tenth or more. So SEEDS draws are added up for each source, in one pre-aggregated pass, and each source uses
+the one whose total comes nearest; within it, each document's copies are that one Bernoulli draw.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,39 +67,45 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return s.select("source", "source_size", target.alias("target"))
 
 
-def draw(doc_id: Column, seed: Column) -> Column:
-    """Uniform number in [0, 1) from an id and a seed; a null id draws as the empty text."""
-    text = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), seed.cast("string"))
+def row_digest(text: Column) -> Column:
+    """What of a text takes part in its row's draw; a null text is empty."""
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def draw(doc_id: Column, digest: Column, seed: Column) -> Column:
+    """Uniform number in [0, 1) from an id, its text's digest and a seed; a null id draws as an empty one."""
+    text = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), digest, F.lit(":"), seed.cast("string"))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
 
 
 def mix(docs: DataFrame, size: Column | None = None) -> DataFrame:
     """docs with size, source_size, target, rate, copies and taken.
 
-    docs needs doc_id, source and text (or a size column). Rows with the same id draw alike; null sources are one
+    docs needs doc_id, source and text (or a size column). Rows with the same id and text draw alike; null sources are one
     source. No document has more than MOST copies. Empty texts have size 0 and may be copied, taking nothing. Columns
     named like a result column are replaced. An empty table gives an empty table.
     """
     size = word_count(F.col("text")) if size is None else size
     kept = [c for c in docs.columns if c.lower() not in {"size", "source_size", "target", "rate", "copies", "taken"}]
     docs = docs.select(*kept)
-    sizes = durable(docs.select("doc_id", "source", size.alias("size")))
+    digest = row_digest(F.col("text")) if "text" in kept else F.lit("")
+    sizes = durable(docs.select("doc_id", "source", size.alias("size"), digest.alias("digest")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     targets = durable(source_targets(sizes).withColumn("rate", rate))
 
-    def extra(seed: Column) -> Column:
-        return (draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("long")
+    def extra(seed: Column, digest: Column) -> Column:
+        return (draw(F.col("doc_id"), digest, seed) < F.col("rate") - F.floor("rate")).cast("long")
 
     t = targets.select(F.col("source").alias("of"), "source_size", "target", "rate")
     rated = sizes.join(_beside(t), F.col("source").eqNullSafe(F.col("of")))
-    sums = [F.sum(F.col("size") * extra(F.lit(i))).alias(f"s{i}") for i in range(SEEDS)]
+    sums = [F.sum(F.col("size") * extra(F.lit(i), F.col("digest"))).alias(f"s{i}") for i in range(SEEDS)]
     drawn = rated.groupBy("of", "target", "rate").agg(F.sum("size").alias("source_size"), *sums)
     whole = F.floor("rate") * F.col("source_size")
     tries = [F.struct(F.abs(whole + F.col(f"s{i}") - F.col("target")).alias("off"), F.lit(i).alias("seed")) for i in range(SEEDS)]
     seed = F.array_min(F.array(*tries))["seed"].alias("__seed")
     best = durable(drawn.select(F.col("of").alias("__of"), "source_size", "target", "rate", seed))
     out = docs.withColumn("size", size).join(_beside(best), F.col("source").eqNullSafe(F.col("__of"))).drop("__of")
-    copies = (F.floor("rate") + extra(F.col("__seed"))).cast("int")
+    copies = (F.floor("rate") + extra(F.col("__seed"), digest)).cast("int")
     out = out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
     return out.drop("__seed")
 
@@ -108,17 +118,18 @@ def repeat_rows(mixed: DataFrame) -> DataFrame:
 
 def mix_sql(documents: str = "documents") -> str:
     """mix() as DuckDB SQL: a query for doc_id, size, source_size, target, taken, copies."""
-    draw_sql = "('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || seed), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
+    draw_sql = "('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || digest || ':' || seed), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
     return f"""
-    WITH sizes AS (SELECT doc_id, source,
+    WITH sizes AS (SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
              coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM {documents}),
     s AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
     w AS (SELECT *, {MOST} * source_size AS cap,
             [{', '.join(map(str, WEIGHTS))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS weight FROM s),
     f AS (SELECT *, {SHARE}::DOUBLE * sum(source_size) OVER ()
             - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS free,
-            sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM w),
-    u AS (SELECT arg_min(free, cap / weight) AS free, arg_min(weights, cap / weight) AS weights FROM f WHERE cap * weights > free * weight),
+            sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights,
+            row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS place FROM w),
+    u AS (SELECT arg_min(free, place) AS free, arg_min(weights, place) AS weights FROM f WHERE cap * weights > free * weight),
     t AS (SELECT source, source_size, CASE WHEN cap * f.weights <= f.free * weight OR u.free IS NULL THEN cap::DOUBLE
             ELSE weight * u.free / u.weights END AS target FROM f, u),
     r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),

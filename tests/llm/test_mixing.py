@@ -59,6 +59,26 @@ def test_same_as_sql(spark, monkeypatch, most):
     assert sorted(map(tuple, got.collect())) == want
 
 
+@pytest.mark.parametrize("ident", [None, 5])
+def test_sources_of_null_or_equal_ids_come_near_their_targets(spark, ident):
+    rows = [(ident, f"s{i % 3}", f"w{i} " * (1 + i % 4), "x", 1) for i in range(6000)]
+    for r in mixing.mix(frame(spark, rows)).groupBy("source", "target").sum("taken").collect():
+        assert abs(r["sum(taken)"] - r.target) <= 0.03 * r.target
+
+
+@pytest.mark.parametrize("sizes", [(300, 100, 200), (100, 100, 100, 300, 100), (0, 50, 100, 150, 50, 100)])
+def test_sql_where_sources_tie(spark, sizes):
+    docs = frame(spark, [(i, f"s{i}", "w " * n, "x", 1) for i, n in enumerate(sizes)])
+    documents = docs.toPandas()  # noqa: F841
+    got = mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    assert sorted(map(tuple, got.collect())) == sorted(duckdb.sql(mixing.mix_sql()).fetchall())
+
+
+def test_very_long_text(spark):
+    out = {r.doc_id: r for r in mixing.mix(frame(spark, [(1, "a", "word " * 1_500_000, "x", 1), (2, "b", "w", "x", 1)])).collect()}
+    assert out[1].size == 1_500_000 and out[1].taken in (1_500_000, 3_000_000)
+
+
 def test_empty_and_nothing_to_take(spark):
     assert mixing.mix(frame(spark, []).limit(0)).collect() == []
     out = mixing.mix(frame(spark, [(1, "a", None, "", 0), (2, "b", " \n", "", 0)])).collect()
