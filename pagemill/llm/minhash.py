@@ -350,10 +350,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each component, the one of the least id; same columns."""
-    gone = near_duplicates(docs, words, percent).filter(~F.col("kept")).select(F.col("key").alias("__key")).distinct()
+    """docs with one document of each component, the one of the least id; same columns.
+
+    Rows that repeat an id with its text are one document, also without words or id: the one of the greatest hash over all
+    columns stays. Only such rows are shuffled with their texts.
+    """
+    found = near_duplicates(docs, words, percent).groupBy("key").agg(F.min(F.coalesce("kept", F.lit(True))).alias("kept"), F.count(F.lit(1)).alias("n"))
+    marked = durable(found.filter(~F.col("kept") | (F.col("n") > 1)).withColumnRenamed("key", "__key"))
     keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(beside(durable(gone)), "__key", "left_anti").select(*docs.columns)
+    once = keyed.join(beside(marked.select("__key")), "__key", "left_anti").select(*docs.columns)
+    repeated = marked.filter("kept").select("__key")
+    if not repeated.limit(1).count():
+        return once
+    rows = keyed.join(beside(repeated), "__key", "left_semi").withColumn("__row", F.xxhash64(*docs.columns))
+    first = rows.groupBy("__key").agg(F.max("__row").alias("__row")).hint("shuffle_hash")
+    return once.unionByName(rows.join(first, ["__key", "__row"], "left_semi").dropDuplicates(["__key"]).select(*docs.columns))
 
 
 def near_duplicates_sql(words: int, percent: int, documents: str = "documents") -> str:

@@ -333,10 +333,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 400_000, max_row
     known = known.filter("fold <> 2").groupBy("doc_id", "fold").agg(F.max("toxic").alias("toxic"))
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
     counting = hashed.join(near(known.filter("fold in (0, 1)")), "doc_id")
-    one_each = counting.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
-    one_each, path = stored(one_each)
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    model = count_model(texts.join(near(one_each), ["doc_id", "text_hash"]), max_rows)
+    counting = counting.groupBy("text_hash", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("toxic").alias("toxic"))
+    one_each = counting.groupBy("text_hash").agg(F.min(F.struct("doc_id", "n")).alias("one"), F.max("toxic").alias("toxic"))
+    one_each, path = stored(one_each.select("text_hash", "one.*", "toxic"))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(near(one_each), ["doc_id", "text_hash"])
+    if one_each.filter("n > 1").limit(1).count():  # only rows that repeat are shuffled to be one
+        texts = texts.filter("n = 1").unionByName(texts.filter("n > 1").dropDuplicates(["text_hash"]))
+    model = count_model(texts, max_rows)
     delete(docs.sparkSession, path)
     spare = known.filter("fold = 3")
     n = spare.count()

@@ -151,6 +151,9 @@ def test_equal_texts_count_once(spark, tables):
     toxic = (F.col("doc_id") % 10_000 == ids[0]).cast("int").alias("toxic")
     one, many = T.fit(docs, labels), T.fit(docs.unionByName(copies), labels.unionByName(copies.select("doc_id", toxic, F.lit(0).alias("quality"))))
     assert (one.keys == many.keys).all() and np.allclose(one.adds, many.adds)
+    repeats = docs.filter(F.col("doc_id").isin(ids)).crossJoin(spark.range(50)).select(*docs.columns)
+    many = T.fit(docs.unionByName(repeats), labels)
+    assert (one.keys == many.keys).all() and np.allclose(one.adds, many.adds)
 
 
 def test_words():
