@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import html as H
 from pagemill.functions.urls import canonical_url, url_host
-from pagemill.jobs import workflows
+from pagemill.jobs import publish, workflows
 from pagemill.operators import blocks as B
 from pagemill.operators import links as L
 from pagemill.operators import pages as P
 from pagemill.operators import sketches as K
 from pagemill.operators import threads as T
+from pagemill.operators.rejects import message_rejects, page_rejects
 from pagemill.operators.rules import indexed_rules, kinds_of_urls
 from pagemill.sources import snapshots as stored
 from pagemill.sources.tables import read_activity, read_messages, read_pages, scratch_folder, write_records
@@ -104,6 +105,37 @@ def _classified(spark: SparkSession, d: str) -> DataFrame:
     return P.with_kind(by_index, rest).select("page_id", F.col("kind").alias("listed"), "found.prio", F.col("found.kind").alias("kind"))
 
 
+#: Rules that leave some pages without a kind.
+SOME_RULES = RULES[:2]
+
+
+def _fetched(spark: SparkSession, d: str) -> DataFrame:
+    """All pages, with times in another order than their ids."""
+    return _pages(spark, d).withColumn("fetched_at", F.timestamp_seconds(1_700_000_000 + F.col("page_id") * 7919 % 100_003))
+
+
+def _published(table: str):
+    """A table of the jobs over pages, stored twice and read as readers do."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        root, rules = scratch_folder(spark), spark.createDataFrame(list(SOME_RULES), "prio int, pat string, kind string")
+        for _ in range(2):
+            publish.publish_pages(_fetched(spark, d), rules, root, k=100, keep=1)
+        return publish.current(spark, root, table)
+
+    return run
+
+
+def _untidy(spark: SparkSession, d: str) -> DataFrame:
+    """All messages, some of them with numbers, authors or texts missing or wrong."""
+    fixed = {
+        "seq": "case when thread_id % 7 = 1 and seq = 1 then 0 when thread_id % 7 = 2 then seq - 1 when thread_id % 7 = 3 and seq = 2 then null else seq end",
+        "author": "case when thread_id % 5 = 1 and seq = 0 then null else author end",
+        "text": "case when thread_id % 5 = 2 and seq = 1 then null else text end",
+    }
+    return _messages(spark, d).select("thread_id", *(F.expr(e).alias(c) for c, e in fixed.items()))
+
+
 def _distinct_merged(spark: SparkSession, d: str) -> DataFrame:
     """Users of each event type and week, from sketches stored by day."""
     path, day = scratch_folder(spark), F.to_date("ts").alias("day")
@@ -202,7 +234,7 @@ QUERIES = {
     "jn_filtered_frontier": lambda s, d: L.filtered_frontier(L.extract_links(_pages(s, d)), _pages(s, d)),
     "jn_diff_stored": lambda s, d: stored.diff_stored(*_stored_snapshots(s, d)),
     "jn_missing_messages": lambda s, d: T.missing_messages(_spread(s, d)),
-    "jn_long_gaps": lambda s, d: T.long_gaps(_spread(s, d), longest=1),
+    "jn_long_gaps": lambda s, d: T.long_gaps(_messages(s, d).withColumn("seq", F.expr("seq * seq")), longest=5),
     "jn_message_gaps": lambda s, d: T.message_gaps(_spread(s, d)),
     "jn_oversized_threads": lambda s, d: T.oversized_threads(_spread(s, d), 6),
     "ag_thread_rollup": lambda s, d: T.thread_rollup(_messages(s, d)),
@@ -228,6 +260,9 @@ QUERIES = {
     "st_counts_in_time": _late(A.read_counts_in_time),
     "st_late_events": _late(A.read_late),
     "w1_current_page_records": lambda s, d: workflows.current_page_records(_pages(s, d), _rules(s)),
+    "rj_pages": _published("page_rejects"),
+    "rj_messages": lambda s, d: message_rejects(_untidy(s, d)),
+    "w1_published_records": _published("records"),
     "w1_paged_records": lambda s, d: workflows.current_page_records(_pages(s, d), _rules(s), keep_params=("page",)),
     "w2_crawl_frontier": lambda s, d: workflows.crawl_frontier(_pages(s, d), 100),
     "w3_thread_report": lambda s, d: workflows.thread_report(_messages(s, d)),
@@ -311,6 +346,12 @@ def _latest_sql(canon: str) -> str:
       row_number() OVER (PARTITION BY {canon} ORDER BY page_id DESC) AS rn FROM pages) WHERE rn = 1"""
 
 
+_FETCHED = f"""SELECT page_id, url, html, canon FROM (SELECT *, {_canon('url')} AS canon, row_number() OVER (PARTITION BY {_canon('url')}
+      ORDER BY 1700000000 + page_id * 7919 % 100003 DESC, page_id DESC) AS rn FROM pages) WHERE rn = 1"""
+_SOME_KINDS = f"""SELECT page_id, CASE {' '.join(f"WHEN regexp_matches(url, '{pat}') THEN '{kind}'" for _, pat, kind in SOME_RULES)} END AS kind FROM pages"""
+_UNTIDY = f"""SELECT thread_id, CASE WHEN thread_id % 7 = 1 AND seq = 1 THEN 0 WHEN thread_id % 7 = 2 THEN seq - 1 WHEN thread_id % 7 = 3 AND seq = 2 THEN NULL
+      ELSE seq END AS seq, CASE WHEN thread_id % 5 = 1 AND seq = 0 THEN NULL ELSE author END AS author,
+      CASE WHEN thread_id % 5 = 2 AND seq = 1 THEN NULL ELSE text END AS text FROM ({_MESSAGES})"""
 _PAGED = f"""{_canon('url')} || CASE WHEN regexp_matches(url, '[?&]page=[^&#]*') THEN '?' || regexp_extract(url, '[?&](page=[^&#]*)', 1) ELSE '' END"""
 _LATEST = _latest_sql(_canon("url"))
 _DIFF = f"""
@@ -371,7 +412,7 @@ ORACLE_SQL = {
     "jn_diff_snapshots": _DIFF,
     "jn_diff_stored": _DIFF,
     "jn_missing_messages": f"SELECT thread_id, unnest(generate_series(gap_from, gap_to)) AS seq FROM ({_gaps(_SPREAD)})",
-    "jn_long_gaps": f"SELECT * FROM ({_gaps(_SPREAD)}) WHERE gap_to - gap_from >= 1",
+    "jn_long_gaps": f"SELECT * FROM ({_gaps(f'SELECT thread_id, seq * seq AS seq FROM ({_MESSAGES})')}) WHERE gap_to - gap_from >= 5",
     "jn_message_gaps": _gaps(_SPREAD),
     "jn_oversized_threads": f"SELECT thread_id, max(seq) AS max_seq FROM ({_SPREAD}) GROUP BY thread_id HAVING max(seq) > 6",
     "ag_thread_rollup": _rollup_sql(_MESSAGES),
@@ -407,6 +448,19 @@ ORACLE_SQL = {
     "st_late_events": f"SELECT event_id, ts, user_id, event_type, batch FROM ({_DELIVERED}) WHERE {_IS_LATE}",
     "w1_current_page_records": f"""SELECT page_id, canon, {_HOST} AS host, {_TITLE} AS title, {_DECODED} AS text,
       sha256(html) AS hash, kind FROM ({_LATEST}) LEFT JOIN ({_KINDS}) USING (page_id)""",
+    "rj_pages": rf"""SELECT page_id, url, reason FROM (SELECT page_id, url, unnest([
+        CASE WHEN url IS NULL THEN 'no address' END, CASE WHEN NOT regexp_matches(url, '^https?://[^/?#]+') THEN 'bad address' END,
+        CASE WHEN url IS NOT NULL AND kind IS NULL THEN 'no kind' END, CASE WHEN coalesce(length(trim(html)), 0) = 0 THEN 'empty' END,
+        CASE WHEN length(trim(html)) > 0 AND NOT regexp_matches(html, '</html>\s*$') THEN 'cut off' END]) AS reason
+      FROM pages JOIN ({_SOME_KINDS}) USING (page_id)) WHERE reason IS NOT NULL""",
+    "rj_messages": f"""WITH m AS ({_UNTIDY}), g AS (SELECT thread_id, seq, count(*) AS n, count(*) - count(author) AS a, count(*) - count(text) AS t FROM m GROUP BY ALL)
+      SELECT thread_id, seq, 'no number' AS reason, n FROM g WHERE seq IS NULL
+      UNION ALL SELECT thread_id, seq, 'negative number', n FROM g WHERE seq < 0
+      UNION ALL SELECT thread_id, seq, 'no author', a FROM g WHERE a > 0
+      UNION ALL SELECT thread_id, seq, 'no text', t FROM g WHERE t > 0
+      UNION ALL SELECT thread_id, seq, 'repeated number', n FROM g WHERE seq IS NOT NULL AND n > 1""",
+    "w1_published_records": f"""SELECT page_id, canon, {_HOST} AS host, {_TITLE} AS title, {_DECODED} AS text,
+      sha256(html) AS hash, kind FROM ({_FETCHED}) LEFT JOIN ({_SOME_KINDS}) USING (page_id)""",
     "w1_paged_records": f"""SELECT page_id, canon, {_HOST} AS host, {_TITLE} AS title, {_DECODED} AS text,
       sha256(html) AS hash, kind FROM ({_latest_sql(_PAGED)}) LEFT JOIN ({_KINDS}) USING (page_id)""",
     "w2_crawl_frontier": f"""SELECT canon, count(*) AS n_links, count(DISTINCT page_id) AS n_pages

@@ -8,10 +8,10 @@ from pagemill.operators import links as L
 from pagemill.operators import pages as P
 
 
-def current_page_records(pages: DataFrame, rules: DataFrame, keep_params: tuple[str, ...] = ()) -> DataFrame:
+def current_page_records(pages: DataFrame, rules: DataFrame, keep_params: tuple[str, ...] = (), order: str = "page_id") -> DataFrame:
     """W1: latest snapshot of each address, extracted and labelled in one pass over the fetched bodies. keep_params: parameters
-    that tell addresses apart, such as the page of a thread."""
-    latest = P.latest_pages(pages, keep_params=keep_params).select("page_id", "url", "html")
+    that tell addresses apart, such as the page of a thread. order: what makes a snapshot later than another."""
+    latest = P.latest_pages(pages, order, keep_params).select("page_id", "url", "html")
     return P.page_records(P.with_kind(latest, rules), "kind", keep_params=keep_params)
 
 

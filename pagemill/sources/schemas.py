@@ -5,6 +5,8 @@ from pyspark.sql import types as T
 PAGES = T.StructType(
     [T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType())]
 )
+#: Pages with the time at which they were fetched.
+FETCHED = T.StructType([*PAGES, T.StructField("fetched_at", T.TimestampType())])
 MESSAGES = T.StructType(
     [
         T.StructField("thread_id", T.LongType()),

@@ -6,12 +6,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.sources.schemas import PAGES
+from pagemill.sources.schemas import FETCHED, PAGES
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Saved page snapshots: Parquet, or JSON lines if the path ends in .json or .jsonl."""
-    reader = spark.read.schema(PAGES)
+def read_pages(spark: SparkSession, path: str, fetched: bool = False) -> DataFrame:
+    """Saved page snapshots: Parquet, or JSON lines if the path ends in .json or .jsonl; with fetched, also their times."""
+    reader = spark.read.schema(FETCHED if fetched else PAGES)
     return reader.json(path) if path.endswith((".json", ".jsonl")) else reader.parquet(path)
 
 
