@@ -102,27 +102,38 @@ def _cell(k: int):
 
 
 def _merge(k: int):
-    """The k best of each query over the sorted lists of all cells."""
+    """The k best of each query over the lists of all cells, given in order of queries: one heap at a time."""
 
     def run(batches):
-        heaps: dict[int, list[tuple[float, int]]] = {}
+        heap: list[tuple[float, int]] = []
+        query = None
+
+        def closed():
+            return [(query, r + 1, -v, s) for r, (s, v) in enumerate(sorted(heap, reverse=True))]
+
         for batch in batches:
+            rows = []
             for q, v, s in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                heap = heaps.setdefault(q, [])
+                if q != query:
+                    rows += closed()
+                    heap, query = [], q
                 item = (s, -v)
                 if len(heap) < k:
                     heapq.heappush(heap, item)
                 elif item > heap[0]:
                     heapq.heapreplace(heap, item)
-        rows = [(q, r + 1, -v, s) for q, h in heaps.items() for r, (s, v) in enumerate(sorted(h, reverse=True))]
-        columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-        types = (pa.int64(), pa.int32(), pa.int64(), pa.float64())
-        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "rank", "vec_id", "score"])
+            yield _ranked(rows)
+        yield _ranked(closed())
 
     return run
 
 
+def _ranked(rows: list[tuple[int, int, int, float]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.float64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["query_id", "rank", "vec_id", "score"])
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the k candidates with the largest inner product for each query.
 
@@ -152,7 +163,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     grid = dealt(asked, True).unionByName(dealt(candidates, False))
     found = grid.groupBy("cell").applyInArrow(_cell(k), FOUND)
-    merged = found.repartition("query_id").mapInArrow(_merge(k), "query_id long, rank int, vec_id long, score double")
+    merged = found.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(_merge(k), "query_id long, rank int, vec_id long, score double")
     return merged
 
 

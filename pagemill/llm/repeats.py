@@ -181,11 +181,16 @@ BUNDLE = "key long, start int, n int, anchor long, part long, known boolean, sli
 
 def _slices(batches):
     """The slices of text of the bundles listed for each document; hot anchors in parts, by place and what all windows of
-    these places have in common."""
+    these places have in common. Rows that repeat, all of one key, give their slices once a task: their windows are known to
+    repeat, and what is looked for is who else has them."""
     unpack = zstandard.ZstdDecompressor().decompress
+    seen = set()
     for batch in batches:
         for i in range(len(batch)):
             key = batch.column(0)[i].as_py()
+            if key in seen:
+                continue
+            seen.add(key)
             raw = unpack(batch.column(1)[i].as_py())
             out = []
             for b in batch.column(2)[i].as_py():
@@ -374,7 +379,7 @@ def _as_text(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(key, spans): for each distinct row of docs with repeats, the spans of bytes that repeated windows cover.
 
-    docs: (key, text). Rows that share a key are occurrences of their own. Spans may overlap.
+    docs: (key, text). Rows that share a key are occurrences of their own, and their spans are listed once. Spans may overlap.
     """
     texts = _as_text(docs)
     counted = texts.mapInArrow(_anchor_counts, "anchor long, times long")
@@ -401,7 +406,7 @@ def _spans(rows: DataFrame, met: DataFrame, packed: DataFrame) -> DataFrame:
     wanted = met.filter(first & F.expr("alike < met")).groupBy("key").agg(F.collect_set(one).alias("wanted"))
     slices = packed.join(wanted.hint("shuffle_hash"), "key").select("key", "packed", "wanted").mapInArrow(_slices, BUNDLE)
     parts = slices.repartition("anchor", "part").mapInArrow(_shard, "key long, begin long, end long")
-    return whole.unionByName(parts).groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    return whole.unionByName(parts).groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
 class RepeatIndex:
@@ -430,7 +435,8 @@ class RepeatIndex:
 
     def add(self, docs: DataFrame) -> DataFrame:
         """(key, spans) of what docs (key, text) repeat among themselves and of what they share with earlier documents,
-        for those as well. Earlier spans are not given again."""
+        for those as well. Where a bundle of docs is one that earlier documents repeat already, their spans are given again, so
+        results of several batches are to be united."""
         read = self.spark.read.parquet
         texts = _as_text(docs)
         new = self._write(texts.mapInArrow(_anchors(), ANCHORED).sortWithinPartitions("anchor"), "level")

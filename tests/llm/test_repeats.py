@@ -125,3 +125,13 @@ def test_index_meets_later_batches(spark, tmp_path):
     for i, (_, removed, n_spans, _) in enumerate(brute(texts)):
         runs = repeats.merged_spans(spans.get(i, []))
         assert (sum(e - b for b, e in runs), len(runs)) == (removed, n_spans), i
+
+
+def test_rows_that_repeat_cost_in_proportion(spark):
+    rng = random.Random(3)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(5000))
+    for n in (2, 300):
+        docs = spark.createDataFrame([(1, text)] * n + [(2, "x" + text[:900]), (3, text[1000:1100])], "key long, text string")
+        spans = {r.key: r.spans for r in repeats.repeated_spans(docs).collect()}
+        assert repeats.merged_spans(spans[1]) == [(0, 5000)] and repeats.merged_spans(spans[2]) == [(1, 901)] and 3 not in spans
+        assert len(spans[1]) < 200  # whatever the number of rows
