@@ -62,7 +62,7 @@ def row_key(*columns: Column) -> Column:
     return F.xxhash64(*columns)
 
 
-def text_batches(batch: pa.RecordBatch, column: str, size: int = 4 << 20):
+def text_batches(batch: pa.RecordBatch, column: str, size: int = 1 << 20):
     """Cut an Arrow batch into slices of about size bytes of text, at least one row each.
 
     Yields (slice, bytes as uint8 array, int64 offsets from 0); null texts are empty.

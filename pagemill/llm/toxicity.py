@@ -149,7 +149,7 @@ def _count(batches):
     """For each expression, the texts of a slice that have it: toxic and ordinary ones."""
     schema = pa.schema([("want", pa.int64()), ("tox", pa.int64()), ("ord", pa.int64())])
     for batch in batches:
-        for part, text, at in text_batches(batch, "text", 16 << 20):
+        for part, text, at in text_batches(batch, "text", 4 << 20):
             toxic = part.column("toxic").to_numpy(zero_copy_only=False) > 0
             words, pairs, n = expressions(text, at)
             of = np.repeat(np.arange(len(n)), n)
