@@ -4,8 +4,8 @@ Five stages, each on all rows that its predecessor kept: toxic documents go, one
 near-duplicates stays, secrets are masked, sources are mixed to their target weights, and texts are encoded.
 
 Null and empty texts pass all stages but the mix, which may leave out or repeat any document. Documents with a null id are
-never near-duplicates. Rows that repeat in full are treated alike. Other columns pass unread, whatever their names, up to
-the last stage, which returns its own. An empty table gives an empty table.
+never near-duplicates; rows that repeat an id with its text are one document. Other columns pass unread, whatever their
+names, up to the last stage, which returns its own. An empty table gives an empty table.
 """
 
 import uuid
