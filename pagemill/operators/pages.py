@@ -125,9 +125,9 @@ def latest_pages(pages: DataFrame, order: str = "page_id", keep_params: tuple[st
     sizes = newest.agg(F.count_if(~several & ~alone).alias("single"), F.count_if(several & ~alone).alias("tied"), F.count_if(alone).alias("alone")).first()
 
     def fetched(which: Column, n: int) -> DataFrame:
-        keys = newest.filter(which).select(F.col("canon").alias("__canon"), "best")
+        keys = newest.filter(which).select(F.col("canon").alias("__canon"), F.col("best").alias("__best"))
         keys = F.broadcast(keys) if n <= MOST_WINNERS else keys.hint("shuffle_hash")
-        same = (F.col("canon") == F.col("__canon")) & best.eqNullSafe(F.col("best"))
+        same = (F.col("canon") == F.col("__canon")) & best.eqNullSafe(F.col("__best"))
         return keyed.join(keys, same, "left_semi")
 
     parts = [fetched(~several & ~alone, sizes.single)]

@@ -37,18 +37,18 @@ def upsert_pages(batch: DataFrame, number: int, folder: str, order: str = "page_
     earlier writes are not looked at, so one that runs again comes to the same.
     """
     spark = batch.sparkSession
-    found = latest_pages(batch, order, keep_params).withColumn("version", _order(order))
-    found = found.withColumn("address", F.coalesce("canon", F.concat(F.lit("\0"), F.col("version.row").cast("string"))))
+    found = latest_pages(batch, order, keep_params).withColumn("__version", _order(order))
+    found = found.withColumn("__address", F.coalesce("canon", F.concat(F.lit("\0"), F.col("__version.row").cast("string"))))
     before = read_changes(spark, folder, before=number)
     if before is not None:
         few = batch.count() <= MOST_WINNERS
-        known = before.select(F.col("address").alias("of"), F.col("version").alias("held"))
+        known = before.select(F.col("__address").alias("__of"), F.col("__version").alias("__held"))
         if few:
-            known = known.join(F.broadcast(found.select(F.col("address").alias("of"))), "of", "left_semi")
-        known = known.groupBy("of").agg(F.max("held").alias("held"))
+            known = known.join(F.broadcast(found.select(F.col("__address").alias("__of"))), "__of", "left_semi")
+        known = known.groupBy("__of").agg(F.max("__held").alias("__held"))
         known = F.broadcast(known) if few else known.hint("shuffle_hash")
-        later = F.col("held").isNull() | (F.col("version") > F.col("held"))
-        found = found.join(known, F.col("address") == F.col("of"), "left").filter(later).drop("of", "held")
+        later = F.col("__held").isNull() | (F.col("__version") > F.col("__held"))
+        found = found.join(known, F.col("__address") == F.col("__of"), "left").filter(later).drop("__of", "__held")
     write_changes(found, folder, number)
 
 
@@ -73,11 +73,11 @@ def store_latest(pages: DataFrame, folder: str, order: str = "page_id", keep_par
 def _latest(rows: DataFrame) -> DataFrame:
     """Of each address, the row of the last version. Later batches only have later versions, so the last batch's row is it;
     bodies are fetched by a hash join on address and batch, as an address has one row in a batch."""
-    last = rows.groupBy("address").agg(F.max("batch").alias("batch"))
-    return rows.join(last.hint("shuffle_hash"), ["address", "batch"], "left_semi")
+    last = rows.groupBy("__address").agg(F.max("batch").alias("batch"))
+    return rows.join(last.hint("shuffle_hash"), ["__address", "batch"], "left_semi")
 
 
 def read_latest(spark: SparkSession, folder: str) -> DataFrame | None:
     """The latest page of each address that a stream has stored, with canon and batch; None before the first batch."""
     rows = read_changes(spark, folder)
-    return None if rows is None else _latest(rows).drop("address", "version")
+    return None if rows is None else _latest(rows).drop("__address", "__version")

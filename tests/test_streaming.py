@@ -57,6 +57,15 @@ def test_large_batches_are_merged_by_a_shuffle(spark, tmp_path, monkeypatch):
     assert kept(S.read_latest(spark, str(tmp_path))) == want
 
 
+def test_other_columns_of_pages_stay(spark, tmp_path):
+    named = spark.createDataFrame(ROWS, PAGES).selectExpr("*", "1 as best", "2 as of", "3 as held", "4 as version", "5 as address", "6 as tied", "7 as n")
+    for i in range(2):
+        S.upsert_pages(named, i, str(tmp_path), "at")
+    out = S.read_latest(spark, str(tmp_path))
+    assert {tuple(r) for r in out.select("best", "of", "held", "version", "address", "tied", "n").collect()} == {(1, 2, 3, 4, 5, 6, 7)}
+    assert kept(out) == kept(latest_pages(named, order="at"))
+
+
 def test_stream_of_pages_goes_on(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     assert S.read_latest(spark, out) is None
