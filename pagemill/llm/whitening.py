@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
@@ -25,6 +26,8 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.common import durable
+
 #: Fixed values of the scale: x = floor(SCALE c) + SHIFT.
 SCALE, SHIFT = 1024, 100_000
 #: Entries whose scaled size reaches this bound count as non-finite: beyond, x would not fit into 64 bits.
@@ -115,6 +118,17 @@ def fit(vectors: DataFrame, components: int = 8) -> Whitening | None:
     return found
 
 
+def _centred(model: Whitening, frame: pd.DataFrame) -> np.ndarray:
+    """n x - S of the rows of a frame, exact."""
+    if not len(frame):
+        return np.zeros((0, len(model.sums)), np.int64)
+    return model.centred(np.floor(np.stack(frame["__v"].to_numpy()) * SCALE).astype(np.int64) + SHIFT)
+
+
+def _whitened(model: Whitening, y: np.ndarray) -> np.ndarray:
+    return (y.astype(np.float64) / model.n) @ model.projections
+
+
 def project(vectors: DataFrame, fitted: Whitening, keep: list[str]) -> DataFrame:
     """The columns in keep, __deviation and __w, the whitened entries; narrow."""
     shared = vectors.sparkSession.sparkContext.broadcast(fitted)
@@ -123,28 +137,48 @@ def project(vectors: DataFrame, fitted: Whitening, keep: list[str]) -> DataFrame
     def run(frames):
         model = shared.value
         for frame in frames:
-            x = np.floor(np.stack(frame["__v"].to_numpy()) * SCALE).astype(np.int64) + SHIFT if len(frame) else np.zeros((0, len(model.sums)), np.int64)
-            y = model.centred(x)
+            y = _centred(model, frame)
             most = max((abs(int(y.max())), abs(int(y.min()))), default=0) if y.size else 0
             if most * most * len(model.sums) > LONG:
                 squares = (y.astype(object) ** 2).sum(1)
-                deviation = [int(s) if s <= LONG else None for s in squares]
+                deviation = np.array([int(s) if s <= LONG else None for s in squares], object)
             else:
                 deviation = (y.astype(np.int64) ** 2).sum(1)
             out = frame[keep].copy()
-            out["__deviation"] = np.array(deviation, object) if isinstance(deviation, list) else deviation
-            out["__w"] = list((y.astype(np.float64) / model.n) @ model.projections)
+            out["__deviation"] = deviation
+            out["__w"] = list(_whitened(model, y))
             yield out
 
     return vectors.select(*keep, "__v").mapInPandas(run, f"{kinds}{', ' if kinds else ''}__deviation long, __w array<double>")
 
 
-def identity_error(projected: DataFrame, components: int) -> float:
-    """Largest absolute entry of the covariance of the whitened entries minus the identity, centred, in one pass."""
-    w = [F.col("__w")[i] for i in range(components)]
-    pairs = [(i, j) for i in range(components) for j in range(i + 1)]
-    row = projected.agg(*(F.covar_pop(w[i], w[j]).alias(f"c{i}_{j}") for i, j in pairs)).first()
-    return max(abs(row[f"c{i}_{j}"] - (i == j)) for i, j in pairs)
+def identity_error(vectors: DataFrame, fitted: Whitening) -> float:
+    """Largest absolute entry of the covariance of the whitened entries minus the identity.
+
+    Each task adds up its rows' products centred on its own mean; what the tasks' means differ by is added to that, centred
+    on the mean of all, in a second step over one row for each task.
+    """
+    shared, k = vectors.sparkSession.sparkContext.broadcast(fitted), len(fitted.eigenvalues)
+
+    def moments(frames):
+        n, mean, scatter = 0, np.zeros(k), np.zeros((k, k))
+        for frame in frames:
+            w = _whitened(shared.value, _centred(shared.value, frame))
+            if len(w):
+                own = w.mean(0)
+                total, off = n + len(w), own - mean
+                scatter += (w - own).T @ (w - own) + np.outer(off, off) * (n * len(w) / total)
+                n, mean = total, mean + off * (len(w) / total)
+        if n:
+            yield pd.DataFrame({"n": [n], "mean": [mean], "scatter": [scatter.ravel()]})
+
+    tasks = durable(vectors.select("__v").mapInPandas(moments, "n long, mean array<double>, scatter array<double>"))
+    sums = tasks.agg(F.sum("n"), *(F.sum(F.col("n") * F.col("mean")[i]) for i in range(k))).first()
+    means = [s / sums[0] for s in sums[1:]]
+    off = [F.col("mean")[i] - F.lit(means[i]) for i in range(k)]
+    pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+    row = tasks.agg(*(F.sum(F.col("scatter")[i * k + j] + F.col("n") * off[i] * off[j]) for i, j in pairs)).first()
+    return max(abs(s / sums[0] - (i == j)) for s, (i, j) in zip(row, pairs, strict=True))
 
 
 def whiten(vectors: DataFrame, components: int = 8) -> DataFrame:
@@ -167,9 +201,8 @@ def whiten(vectors: DataFrame, components: int = 8) -> DataFrame:
         none = ", ".join(f"cast(null as {t}) as {c}" for c, t in (x.split() for x in OUT.split(", ")))
         nothing = f"{none}, cast(null as double) as explained, cast(null as double) as identity_error"
         return vectors.select(*keep).limit(0).selectExpr(*(f"`{c}`" for c in keep), *nothing.split(", "))
-    k = len(fitted.eigenvalues)
     projected = project(whole, fitted, keep)
-    error = identity_error(projected, k)
+    error = identity_error(whole, fitted)
     shares = F.array(*(F.lit(float(e)) for e in fitted.eigenvalues / np.trace(fitted.covariance)))
     rows = projected.select(*keep, "__deviation", F.posexplode("__w").alias("__at", "whitened"))
     return rows.select(

@@ -78,3 +78,15 @@ def test_registered_query(spark):
     out = QUERIES["op11_whitening"](spark, "/root/testdata/sf0.001").collect()
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()]
     held_to(out, rows)
+
+
+def test_identity_error_is_that_of_the_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=5).tolist()) for i in range(300)]
+    v = W.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3))
+    fitted = W.fit(v, 3)
+    assert W.identity_error(v, fitted) < 1e-10
+    fitted.projections[:, 1] = 0.6 * fitted.projections[:, 0] + 0.8 * fitted.projections[:, 1]
+    assert abs(W.identity_error(v, fitted) - 0.6) < 1e-10
+    fitted.projections *= 2
+    assert abs(W.identity_error(v.filter("vec_id < 300"), fitted) - 3) < 1e-9
